@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +30,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers started outside the repository's folder import this package, as they can where it is installed."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def view(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only ``_id`` and ``_text`` (null text: empty), whatever else the table holds."""
+    importable(df.sparkSession)
     return df.select(df[id_col].alias("_id"), F.coalesce(df[text_col], F.lit("")).alias("_text"))
 
 

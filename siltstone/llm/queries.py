@@ -10,6 +10,28 @@ from pyspark.sql import functions as F
 from siltstone.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.line_dedup import remove_repeated_lines
+
+    return remove_repeated_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op4_media_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.ogg import read_streams, store_samples
+
+    out = read_streams(store_samples(table(spark, sf_dir, "documents")))
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.expr("substring(payload, -64, 64)")).alias("tail_crc32"),
+        F.octet_length("media").cast("bigint").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+    )
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.substring_dedup import remove_repeated_windows
 
@@ -18,8 +40,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_substring_dedup,)}
+    return {f.__name__: f for f in (op1_line_dedup, op4_media_ogg, op9_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from siltstone.llm.line_dedup import SQL as lines
+
+    return {"op1_line_dedup": lines}
