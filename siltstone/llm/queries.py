@@ -16,6 +16,15 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from siltstone.llm.packing import pack_documents
+
+    out = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
+
+
 def op4_media_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.ogg import read_streams, store_samples
 
@@ -40,7 +49,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op4_media_ogg, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_packing, op4_media_ogg, op9_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
