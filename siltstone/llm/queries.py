@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import table
+from siltstone.llm.common import crc_remainder, table
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,15 @@ def op4_media_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.toxicity import THRESHOLD, learn_toxicity, score_toxicity
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    machine = learn_toxicity(docs, labels, where=crc_remainder(labels["doc_id"], 3) != 1)
+    out = score_toxicity(docs.select("doc_id", "text"), machine)
+    return out.select("doc_id", (crc_remainder(out["doc_id"], 3) == 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.substring_dedup import remove_repeated_windows
 
@@ -49,7 +58,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_packing, op4_media_ogg, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_packing, op4_media_ogg, op7_toxicity, op9_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
