@@ -21,9 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from siltstone.llm import slices as S
-from siltstone.llm.common import view
+from siltstone.llm.common import arrow_type, view
 from siltstone.llm.kernels import U, chunks, flatten, span_hashes, words
-from siltstone.llm.substring_dedup import _arrow_type
 
 TIERS = (512, 1024, 2048, 4096)
 STEP_TOKENS = 32768
@@ -192,7 +191,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     """
     rows = view(docs, id_col, text_col)
     dealt = S.deal(rows, S.plan(rows))
-    id_type = _arrow_type(dealt, "_id")
+    id_type = arrow_type(dealt, "_id")
     schema = pa.schema([("_id", id_type), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("tier", pa.int64()), ("step_group", pa.int64())])
 
     def run(t: pa.Table) -> pa.Table:

@@ -5,11 +5,11 @@ builds a sparse count-min sketch of its windows (``depth`` rows; a row is 2**24
 cells for each block, so its width grows with the corpus and its load stays
 the same); the sketches are merged by adding the counters of each cell range.
 Counters never underestimate, so a window whose counter is below two in any
-row occurs once.  A second pass groups only the remaining windows, by 128 bits of
+row occurs once.  A second pass groups only the remaining windows, by 96 bits of
 hash, and tells each slice which of its windows truly repeat.  A third pass
 merges the covered positions and rebuilds the texts.  The text is shuffled once
 (the three passes reuse that exchange); what moves besides is about two bytes a
-window and sketch row, and 16 bytes for each window that may repeat.
+window and sketch row, and 12 bytes for each window that may repeat and 8 for each that does.
 """
 
 from __future__ import annotations
@@ -22,13 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm import slices as S
-from siltstone.llm.common import view
+from siltstone.llm.common import arrow_type, view
 from siltstone.llm.kernels import U, chunks, flatten, mix, segments_to_rows, span_hashes, window_hashes, words
 
 _BITS = 24
 _MESSAGE = pa.schema([("_s", pa.int32()), ("_d", pa.int32()), ("_b", pa.int32()), ("_h", pa.binary())])
 _MESSAGE_DDL = "_s int, _d int, _b int, _h binary"
-_PAIR = np.dtype([("a", np.uint64), ("b", np.uint64)])
+#: 96 bits tell windows apart.
+_PAIR = np.dtype([("a", "<u8"), ("b", "<u4")])
 
 
 def _windows(texts, width: int, lanes: int):
@@ -42,7 +43,7 @@ def _windows(texts, width: int, lanes: int):
 
 
 def _cells(h: np.ndarray, row: int) -> np.ndarray:
-    return mix(h + U(row) * U(0x9E3779B97F4A7C15))
+    return mix(h + U(row * 0x9E3779B97F4A7C15 % (1 << 64)))
 
 
 def _sketch(width: int, depth: int, blocks: int):
@@ -132,7 +133,8 @@ def _group_exactly(t: pa.Table) -> pa.Table:
     order = np.argsort(source, kind="stable")
     every, source = every[order], source[order]
     edges = np.searchsorted(source, np.arange(len(s) + 1))
-    out = [(s[k], 0, b, every[edges[k] : edges[k + 1]].tobytes()) for k in np.flatnonzero(np.diff(edges))]
+    # a slice knows its own windows' second halves, so the answer names the first ones only
+    out = [(s[k], 0, b, every["a"][edges[k] : edges[k + 1]].tobytes()) for k in np.flatnonzero(np.diff(edges))]
     return S.table_of(_MESSAGE, list(zip(*out)) if out else [[]] * 4)
 
 
@@ -141,19 +143,14 @@ def _rebuild(width: int, id_type: pa.DataType):
 
     def run(docs: pa.Table, repeated: pa.Table) -> pa.Table:
         ids = docs["_id"].combine_chunks() if docs["_id"].num_chunks != 1 else docs["_id"].chunk(0)
-        found = [np.frombuffer(x.as_py(), _PAIR) for x in repeated["_h"]]
-        found = np.concatenate(found) if found else np.zeros(0, _PAIR)
-        found = _sorted_pairs(found["a"], found["b"])
+        found = [np.frombuffer(x.as_py(), "<u8") for x in repeated["_h"]]
+        found = np.unique(np.concatenate(found)) if found else np.zeros(0, U)
         n_words, n_removed, kept, spans = [], [], [], []
-        for i, j, part, starts, ends, first, (h1, h2), place, _ in _windows(docs["_text"], width, 2):
+        for i, j, part, starts, ends, first, (h,), place, _ in _windows(docs["_text"], width, 1):
             gone = np.zeros(len(starts) + 1, np.int64)
-            maybe = np.flatnonzero(S.member(h1, found["a"]))
-            if len(maybe):
-                mine = np.empty(len(maybe), _PAIR)
-                mine["a"], mine["b"] = h1[maybe], h2[maybe]
-                hit = place[maybe[_member_pairs(mine, found)]]
-                np.add.at(gone, hit, 1)
-                np.add.at(gone, hit + width, -1)
+            hit = place[S.member(h, found)]
+            np.add.at(gone, hit, 1)
+            np.add.at(gone, hit + width, -1)
             covered = np.cumsum(gone[:-1]) > 0
             total = np.concatenate(([0], np.cumsum(covered)))
             raw = part.tobytes()
@@ -176,17 +173,6 @@ def _rebuild(width: int, id_type: pa.DataType):
     return run
 
 
-def _member_pairs(values: np.ndarray, among: np.ndarray) -> np.ndarray:
-    """Which (a, b) are in a sorted array of pairs; equal a's are rare, so a step or two suffices."""
-    lo, hi = np.searchsorted(among["a"], values["a"], "left"), np.searchsorted(among["a"], values["a"], "right")
-    ok = np.zeros(len(values), bool)
-    for step in range(int((hi - lo).max(initial=0))):
-        at = lo + step
-        live = at < hi
-        ok[live] |= among["b"][at[live]] == values["b"][live]
-    return ok
-
-
 def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 35, depth: int = 2) -> DataFrame:
     """Removes each word covered by a window of ``width`` words that also starts elsewhere.
 
@@ -204,16 +190,10 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     rows = view(docs, id_col, text_col)
     n = S.plan(rows)
     dealt = S.deal(rows, n)
-    id_type = _arrow_type(dealt, "_id")
+    id_type = arrow_type(dealt, "_id")
     sketches = dealt.groupBy("_s").applyInArrow(_sketch(width, depth, n), _MESSAGE_DDL)
     hot = sketches.groupBy("_d", "_b").applyInArrow(_merge_cells, _MESSAGE_DDL)
     maybe = dealt.groupBy("_s").cogroup(hot.groupBy("_s")).applyInArrow(_candidates(width, depth, n), _MESSAGE_DDL)
     repeated = maybe.groupBy("_b").applyInArrow(_group_exactly, _MESSAGE_DDL)
     out = dealt.groupBy("_s").cogroup(repeated.groupBy("_s")).applyInArrow(_rebuild(width, id_type), f"_id {dealt.schema['_id'].dataType.simpleString()}, n_words bigint, n_removed bigint, kept string, spans array<array<bigint>>")
     return out.withColumnRenamed("_id", id_col)
-
-
-def _arrow_type(df: DataFrame, name: str) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(df.schema[name].dataType)
