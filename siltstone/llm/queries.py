@@ -57,8 +57,14 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.vector_dedup import link_vectors
+
+    return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_packing, op4_media_ogg, op7_toxicity, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_packing, op4_media_ogg, op7_toxicity, op9_substring_dedup, op10_vector_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
