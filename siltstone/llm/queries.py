@@ -41,6 +41,12 @@ def op4_media_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.toxicity import THRESHOLD, learn_toxicity, score_toxicity
 
@@ -64,7 +70,7 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_packing, op4_media_ogg, op7_toxicity, op9_substring_dedup, op10_vector_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_packing, op4_media_ogg, op5_minhash, op7_toxicity, op9_substring_dedup, op10_vector_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
