@@ -8,8 +8,11 @@ and repetition.  All are hashed into ``1 << TERM_BITS`` numbers.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,13 +93,12 @@ def _shapes(raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     ]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id_col: str, bound: int, shapes: bool = False):
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id_col: str, bound: int, shapes: bool = False) -> Sample:
     """Terms of at most ``bound`` labelled documents, on the driver.
 
     ``labels``: the label's id column and ``_y`` (int).  The documents with the lowest hashes of
     their ids are taken; their ids (at most ``bound`` rows) are what is broadcast.  Rows with a
     null id or label are left out; of repeated labels the largest counts.
-    Returns labels, the first pair of each document (one more at the end) and the terms.
     """
     importable(docs.sparkSession)
     known = labels.select(F.col(label_id_col).alias("_id"), "_y").where("_id is not null and _y is not null").groupBy("_id").agg(F.max("_y").alias("_y"))
@@ -112,39 +114,61 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
                 yield pa.RecordBatch.from_arrays([ids[i:j], y[i:j], pa.array([term[a:z].tobytes() for a, z in zip(edges, edges[1:])], pa.binary())], names=["_id", "_y", "_t"])
 
     got = rows.select("_id", "_y", "_text").mapInArrow(run, f"_id {rows.schema['_id'].dataType.simpleString()}, _y int, _t binary")
-    # repeated rows of an id could pass the bound
-    rows = got.limit(2 * bound).toArrow().sort_by("_id")
-    terms = [np.frombuffer(x.as_py(), np.uint32) for x in rows["_t"]]
-    first = np.concatenate(([0], np.cumsum([len(x) for x in terms]))).astype(np.int64)
-    return np.array(rows["_y"].to_pylist(), np.int64), first, np.concatenate(terms) if terms else np.zeros(0, np.uint32)
-
-
-def telling_terms(y: np.ndarray, first: np.ndarray, terms: np.ndarray, classes: int, least: int = 3, g2: float = 15.0, most: int = 1024) -> np.ndarray:
+    # one row an id, or repeated rows could pass the bound
+    got = got.groupBy("_id").agg(F.min(F.struct("_y", "_t")).alias("_s")).select("_id", "_s.*").toArrow()
+    order = np.asarray(pc.sort_indices(got["_id"]))
+    data, offsets = flatten(got["_t"])
+    return Sample(np.asarray(got["_y"].combine_chunks(), np.int64)[order] if len(order) else np.zeros(0, np.int64), order, offsets // 4, data.view(np.uint32))
+
+
+@dataclass
+class Sample:
+    """Labels in order of ids; terms as they came (``order``: which of them belong to each label)."""
+
+    y: np.ndarray
+    order: np.ndarray
+    first: np.ndarray
+    terms: np.ndarray
+
+    def select(self, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, index in ``among``) of all pairs whose term is in ``among``, by row."""
+        known = np.full(1 << TERM_BITS, -1, np.int32)
+        known[among] = np.arange(len(among))
+        at = known[self.terms]
+        hit = np.flatnonzero(at >= 0)
+        owner = np.searchsorted(self.first, hit, "right") - 1
+        rank = np.empty(len(self.order), np.int64)
+        rank[self.order] = np.arange(len(self.order))
+        row, feature = rank[owner], at[hit].astype(np.int64)
+        by = np.lexsort((feature, row))
+        return row[by], feature[by]
+
+    def counts(self, labels: np.ndarray) -> np.ndarray:
+        """How many of the documents at ``labels`` (flags, in order of ids) hold each term."""
+        total, mine = np.zeros(1 << TERM_BITS, np.int32), np.zeros(len(self.order), bool)
+        mine[self.order] = labels
+        for a in range(0, len(mine), 1000):  # in parts, so the driver's memory stays small
+            b = min(a + 1000, len(mine))
+            part = self.terms[self.first[a] : self.first[b]]
+            total += np.bincount(part[np.repeat(mine[a:b], np.diff(self.first[a : b + 1]))], minlength=len(total)).astype(np.int32)
+        return total
+
+
+def telling_terms(sample: Sample, classes: int, least: int = 3, g2: float = 15.0, most: int = 1024) -> np.ndarray:
     """Sorted terms that occur more or less often in some class, by a log-likelihood ratio of ``g2`` at least; the ``most`` clearest."""
-    owner = segments_to_rows(np.diff(first))
-    found, at = np.unique(terms, return_inverse=True)
-    best = np.zeros(len(found))
-    df = np.bincount(at, minlength=len(found)).astype(float)
-    n = len(y)
+    n = len(sample.y)
+    every = sample.counts(np.ones(n, bool))
+    found = np.flatnonzero(every >= least)
+    df, best = every[found].astype(float), np.zeros(len(found))
     for c in range(classes):
-        mine = y == c
-        n1 = float(mine.sum())
+        n1 = float(np.sum(sample.y == c))
         if not n1 or n1 == n:
             continue
-        a = np.bincount(at, weights=mine[owner], minlength=len(found))
+        a = sample.counts(sample.y == c)[found]
         ratio = np.zeros(len(found))
         for seen, total, share in ((a, df, n1 / n), (df - a, df, 1 - n1 / n), (n1 - a, n - df, n1 / n), (n - n1 - df + a, n - df, 1 - n1 / n)):
             ok = seen > 0
             ratio[ok] += 2 * seen[ok] * np.log(seen[ok] / (total[ok] * share))
         best = np.maximum(best, ratio)
-    ok = np.flatnonzero((df >= least) & (best >= g2))
+    ok = np.flatnonzero(best >= g2)
     return np.sort(found[ok[np.argsort(-best[ok], kind="stable")[:most]]])
-
-
-def rows_of(first: np.ndarray, terms: np.ndarray, among: np.ndarray):
-    """(row, index in ``among``) of all pairs whose term is in ``among``."""
-    owner = segments_to_rows(np.diff(first))
-    at = np.searchsorted(among, terms)
-    at[at == len(among)] = 0
-    ok = among[at] == terms if len(among) else np.zeros(len(terms), bool)
-    return owner[ok], at[ok]

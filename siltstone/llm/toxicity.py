@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import view
-from siltstone.llm.terms import TERM_BITS, batch_terms, labelled_sample, rows_of, telling_terms
+from siltstone.llm.terms import TERM_BITS, Sample, batch_terms, labelled_sample, telling_terms
 
 SAMPLE_BOUND = 20_000
 THRESHOLD = 0.7
@@ -42,16 +42,16 @@ class FactorizationMachine:
         return _sigmoid(z)
 
 
-def fit_machine(y: np.ndarray, first: np.ndarray, terms: np.ndarray, rank: int = 6, epochs: int = 30, rate: float = 0.03, l2: float = 2e-4, batch: int = 256, weight: float = 2.0, seed: int = 7) -> FactorizationMachine:
+def fit_machine(sample: Sample, rank: int = 6, epochs: int = 30, rate: float = 0.03, l2: float = 2e-4, batch: int = 256, weight: float = 2.0, seed: int = 7) -> FactorizationMachine:
     """Fits the machine, label 1 counting ``weight`` times; with one class only or no telling term it scores the share of label 1."""
-    chosen = telling_terms(y, first, terms, 2)
+    y, chosen = sample.y, telling_terms(sample, 2)
     share = (float(np.sum(y == 1)) + 0.5) / (len(y) + 1)
     bias, n, f = float(np.log(share / (1 - share))), len(y), len(chosen)
     rng = np.random.default_rng(seed)
     w, v = np.zeros(f, np.float32), rng.normal(0, 0.05, (f, rank)).astype(np.float32)
     if not f or not n:
         return FactorizationMachine(chosen, bias, w, v)
-    row, feature = rows_of(first, terms, chosen)
+    row, feature = sample.select(chosen)
     edges = np.searchsorted(row, np.arange(n + 1))
     params = [np.array([bias], np.float32), w, v]
     cost = np.where(y == 1, weight, 1.0).astype(np.float32)
@@ -87,7 +87,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     the machine.  Null labels and labels without a document are left out.
     """
     rows = labels if where is None else labels.where(where)
-    return fit_machine(*labelled_sample(docs, rows.select(rows[label_id_col], rows[label_col].cast("int").alias("_y")), id_col, text_col, label_id_col, bound))
+    return fit_machine(labelled_sample(docs, rows.select(rows[label_id_col], rows[label_col].cast("int").alias("_y")), id_col, text_col, label_id_col, bound))
 
 
 def score_toxicity(docs: DataFrame, machine: FactorizationMachine, text_col: str = "text", score_col: str = "score") -> DataFrame:
