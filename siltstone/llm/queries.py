@@ -16,6 +16,14 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.lm import score_texts
+
+    docs = table(spark, sf_dir, "documents")
+    out = score_texts(docs, train_where=crc_remainder(docs["doc_id"], 7) != 2)
+    return out.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -70,7 +78,7 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_packing, op4_media_ogg, op5_minhash, op7_toxicity, op9_substring_dedup, op10_vector_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_lm_scores, op3_packing, op4_media_ogg, op5_minhash, op7_toxicity, op9_substring_dedup, op10_vector_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
