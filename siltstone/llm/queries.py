@@ -55,6 +55,17 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.mixing import document_rates, fit_rates, learn_domains
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    domain = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 0, 1).otherwise(0)
+    model = learn_domains(docs, labels.select("doc_id", domain.alias("_y")), 3)
+    rates = fit_rates(docs, model, [0.85, 0.12, 0.03])
+    out = document_rates(docs, model, rates)
+    return out.select("doc_id", "n_tokens", *[F.col("posterior")[k].alias(f"p_{n}") for k, n in enumerate(("good", "low", "toxic"))], "rate", "copies")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.toxicity import THRESHOLD, learn_toxicity, score_toxicity
 
@@ -78,7 +89,7 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_lm_scores, op3_packing, op4_media_ogg, op5_minhash, op7_toxicity, op9_substring_dedup, op10_vector_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_lm_scores, op3_packing, op4_media_ogg, op5_minhash, op6_mixing, op7_toxicity, op9_substring_dedup, op10_vector_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
