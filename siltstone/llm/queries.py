@@ -75,6 +75,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (crc_remainder(out["doc_id"], 3) == 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.pii import replace_entities
+
+    return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), b"siltstone demonstration key")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.substring_dedup import remove_repeated_windows
 
@@ -89,7 +95,7 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_lm_scores, op3_packing, op4_media_ogg, op5_minhash, op6_mixing, op7_toxicity, op9_substring_dedup, op10_vector_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_lm_scores, op3_packing, op4_media_ogg, op5_minhash, op6_mixing, op7_toxicity, op8_pii_surrogates, op9_substring_dedup, op10_vector_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
