@@ -31,7 +31,10 @@ def delete_rows(spark: SparkSession, store: Store, base: Snapshot, predicate: st
 
         def change(now: Snapshot) -> Snapshot:
             left = [replace(f, deletions=(*f.deletions, folder), deleted=f.deleted + counts[f.id]) if f.id in counts else f for f in now.fragments]
-            return replace(now, fragments=tuple(f for f in left if f.live))
+            kept = tuple(f for f in left if f.live)
+            ids = {f.id for f in kept}
+            indices = tuple(replace(i, fragments=tuple(x for x in i.fragments if x in ids)) for i in now.indices)
+            return replace(now, fragments=kept, indices=indices)
 
         return commit(store, base, "delete", change, tuple(sorted(counts)))
     except BaseException:

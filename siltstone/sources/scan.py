@@ -35,8 +35,8 @@ def located(spark: SparkSession, store: Store, snapshot: Snapshot, fragments: Se
     """Rows with ``_fragment`` and ``_row`` (position in the file); also deleted rows, if asked."""
     if not fragments:
         return empty(spark, snapshot.schema).withColumns({"_fragment": F.lit(0).cast("bigint"), "_row": F.lit(0).cast("bigint")})
-    names = spark.createDataFrame([(f.file_name, f.id) for f in fragments], "_file string, _fragment bigint")
-    rows = _files(spark, store, snapshot, fragments).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    names = spark.createDataFrame([(f.place, f.id) for f in fragments], "_file string, _fragment bigint")
+    rows = _files(spark, store, snapshot, fragments).select("*", F.substring_index("_metadata.file_path", "/", -2).alias("_file"), F.col("_metadata.row_index").alias("_row"))
     rows = rows.join(F.broadcast(names), "_file").drop("_file")  # one row a fragment
     return rows if deleted else without_deleted(rows, spark, store, fragments)
 
