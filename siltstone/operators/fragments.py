@@ -22,7 +22,7 @@ from siltstone.manifest import Fragment, Snapshot, load, versions
 from siltstone.namespace import Namespace
 from siltstone.operators.write import MODES, check_rows, check_write, finish, target
 from siltstone.schema import storable, to_struct
-from siltstone.storage import Store
+from siltstone.storage import Store, reliable
 
 MESSAGES = "fragment string, schema string"
 
@@ -148,7 +148,7 @@ def number_rows(df: DataFrame, order_by: list[str] | None = None) -> DataFrame:
 
     keyed = df.withColumn("_key", F.struct(*order_by) if order_by else F.monotonically_increasing_id())
     parts = keyed.repartitionByRange("_key").sortWithinPartitions("_key") if order_by else keyed
-    parts = parts.withColumn("_part", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id()).persist()
+    parts = reliable(parts.withColumn("_part", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id()))
     sizes = parts.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_seq").alias("_first"))
     offsets = sizes.withColumn("_off", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).drop("_n")  # one row a partition
     return parts.join(F.broadcast(offsets), "_part").withColumn("_at", F.col("_seq") - F.col("_first") + F.col("_off")).drop("_key", "_part", "_seq", "_first", "_off")

@@ -12,6 +12,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.manifest import Fragment, Snapshot, load
 from siltstone.namespace import Namespace, resolve
@@ -85,8 +86,9 @@ def choose(spark: SparkSession, store: Store, snapshot: Snapshot, filter: str |
         from siltstone.operators.btree import fragments_with
 
         for index in snapshot.indices:
-            if index.kind == "BTree" and index.column in bounds and fragments:
-                hits = fragments_with(spark, store, index, bounds[index.column])
+            r = bounds.get(index.column)
+            if index.kind == "BTree" and r is not None and fragments and all(isinstance(v, str) == isinstance(snapshot.schema[index.column].dataType, T.StringType) for v in (r.low, r.high) if v is not None):
+                hits = fragments_with(spark, store, index, r)
                 covered = set(index.fragments)
                 fragments = [f for f in fragments if f.id in hits or f.id not in covered]
     return fragments

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import shutil
+import tempfile
 import uuid
 from urllib.parse import urlparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def is_local(uri: str) -> bool:
@@ -104,3 +105,14 @@ class Store:
         else:
             fs, p = self._hadoop(name)
             fs.delete(p, True)
+
+
+def reliable(df: DataFrame) -> DataFrame:
+    """The rows as they are now, in the session's checkpoint folder, so a lost executor doesn't change them."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="siltstone-checkpoint-"))
+    return df.checkpoint()

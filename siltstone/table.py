@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 from typing import Any
 
@@ -77,7 +78,7 @@ class Table:
         from siltstone.sources.scan import located
 
         chosen: list[tuple[int, int, int]] = []
-        fragments, total = self.snapshot.fragments, self.snapshot.rows
+        fragments, total = [f for f in self.snapshot.fragments if f.live], self.snapshot.rows
         starts, at = [], 0
         for f in fragments:
             starts.append(at)
@@ -85,7 +86,7 @@ class Table:
         for k, p in enumerate(positions):
             if not 0 <= p < total:
                 raise IndexError(f"position {p} is outside of {total} rows")
-            i = max(i for i, s in enumerate(starts) if s <= p and fragments[i].live)
+            i = bisect_right(starts, p) - 1
             chosen.append((k, fragments[i].id, p - starts[i]))
         hit = [f for f in fragments if f.id in {c[1] for c in chosen}]
         rows = located(self.spark, self.store, self.snapshot, hit)
