@@ -9,6 +9,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -105,3 +106,8 @@ def arrow_type(df: DataFrame, name: str) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 
     return to_arrow_type(df.schema[name].dataType)
+
+
+def extended(df: DataFrame, more: str) -> T.StructType:
+    """The schema of ``df`` and some columns more; names need no quoting, in nested types either."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(more).fields])

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import cut, importable
+from siltstone.llm.common import cut, extended, importable
 from siltstone.llm.kernels import flatten, words
 from siltstone.llm.terms import TERM_BITS, Sample, batch_terms, labelled_sample, telling_terms
 
@@ -116,8 +116,7 @@ def with_membership(docs: DataFrame, model: DomainModel, rates: Rates | None = N
             more = [pa.array(rates.of(p * tokens[:, None]))] if rates else []
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tokens), lists, *more], names=[*b.schema.names, *added])
 
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", n_tokens bigint, posterior array<double>" + (", rate double" if rates else "")
-    return docs.mapInArrow(run, ddl)
+    return docs.mapInArrow(run, extended(docs, "n_tokens bigint, posterior array<double>" + (", rate double" if rates else "")))
 
 
 def fit_rates(docs: DataFrame, model: DomainModel, weights: list[float], total: float | None = None, least: float = 0.0, text_col: str = "text", tolerance: float = 1e-6, iterations: int = 60) -> Rates:

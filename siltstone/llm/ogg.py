@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import importable, view
+from siltstone.llm.common import extended, importable, view
 
 _REVERSE = bytes(int(f"{b:08b}"[::-1], 2) for b in range(256))
 _HEADER = struct.Struct("<4sBBqIIIB")
@@ -251,4 +251,4 @@ def read_streams(df: DataFrame, media_col: str = "media") -> DataFrame:
                 streams = pa.array(list(cols[2]), pa.list_(pa.struct([("serial", pa.int64()), ("pages", pa.int64()), ("missing_pages", pa.int64()), ("packets", pa.int64()), ("bytes", pa.int64()), ("rate", pa.int64()), ("first_seconds", pa.float64()), ("last_seconds", pa.float64()), ("ended", pa.bool_())])))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), streams, pa.array(cols[3], pa.binary()), pa.array(cols[4], pa.string())], names=[*b.schema.names, *added])
 
-    return df.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", pages bigint, bad_pages bigint, streams {_STREAM_DDL}, payload binary, feature string")
+    return df.mapInArrow(run, extended(df, f"pages bigint, bad_pages bigint, streams {_STREAM_DDL}, payload binary, feature string"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import cut, importable
+from siltstone.llm.common import cut, extended, importable
 
 # Given names by script and gender.
 GIVEN = {
@@ -240,7 +240,7 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
     rows = docs.select(F.struct(*[docs[c] for c in others]).alias("_row"), docs[id_col].alias("_id"), docs[text_col].alias("_text"), F.xxhash64(docs[text_col]).alias("_h"))
 
     def found(df):
-        return df.mapInArrow(_finder, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", _m {_FOUND}")
+        return df.mapInArrow(_finder, extended(df, f"_m {_FOUND}"))
 
     mentions = cut(found(rows.select("_id", "_text", "_h")).select("_id", "_h", F.explode("_m").alias("_x")).select("_id", "_h", "_x.*"))
     chosen = choose_surrogates(cut(mentions.select("kind", "entity").distinct()), key)
@@ -264,7 +264,7 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
     clean = marked.where("size(_m) = 0").select("_row", "_text", F.lit(0).cast("bigint").alias("n_entities"))
     dirty = marked.where("size(_m) > 0").drop("_m")
     dirty = dirty.join(todo, dirty["_id"].eqNullSafe(todo["_tid"]) & (dirty["_h"] == todo["_th"])).select("_row", "_text", "_todo")
-    dirty = dirty.mapInArrow(rewrite, f"_row {dirty.schema['_row'].dataType.simpleString()}, _text string, n_entities bigint")
+    dirty = dirty.mapInArrow(rewrite, extended(dirty.select("_row"), "_text string, n_entities bigint"))
     out = clean.unionByName(dirty)
     order = [c for c in docs.columns if c.lower() != "n_entities"]
     return out.select(*[F.col("_text").alias(c) if c.lower() == text_col.lower() else F.col("_row")[c].alias(c) for c in order], "n_entities")

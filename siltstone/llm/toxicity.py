@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import view
+from siltstone.llm.common import extended, importable
 from siltstone.llm.terms import TERM_BITS, Sample, batch_terms, labelled_sample, telling_terms
 
 SAMPLE_BOUND = 20_000
@@ -96,7 +96,7 @@ def score_toxicity(docs: DataFrame, machine: FactorizationMachine, text_col: str
     Whole texts count.  Null and empty texts get the score of a text without any
     known term.  Repeated rows get equal scores; an empty table stays empty.
     """
-    view(docs, docs.columns[0], text_col)  # workers can import this package
+    importable(docs.sparkSession)
     keep = [c for c in docs.columns if c.lower() != score_col.lower()]
     wanted = np.zeros(1 << TERM_BITS, bool)
     wanted[machine.terms] = True
@@ -112,7 +112,7 @@ def score_toxicity(docs: DataFrame, machine: FactorizationMachine, text_col: str
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64())], names=[*b.schema.names, score_col])
 
     rows = docs.select(*[docs[c] for c in keep])
-    return rows.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", `{score_col}` double")
+    return rows.mapInArrow(run, extended(rows, f"`{score_col}` double"))
 
 
 def reject_toxic(docs: DataFrame, machine: FactorizationMachine, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
