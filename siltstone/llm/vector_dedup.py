@@ -66,6 +66,10 @@ class CapCode:
         share = min(0.5, want / (CODES * self.size**self.blocks))
         top = np.sort(total, axis=None)
         self.threshold = float(top[max(0, int(len(top) * (1 - share)) - 1)])
+        if share * len(top) < 50 and dim > 3:  # too far out for the trial: the tail of a random direction on the sphere
+            t = np.linspace(0, 1, 20001)[:-1]
+            tail = np.cumsum(((1 - t * t) ** ((dim - 3) / 2))[::-1])[::-1]
+            self.threshold = float(t[np.searchsorted(-tail / (2 * tail[0]), -share)])
 
     def scores(self, unit: np.ndarray, k: int) -> list[np.ndarray]:
         turned = unit @ self.rotations[k]
