@@ -101,4 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from siltstone.llm.line_dedup import SQL as lines
 
-    return {"op1_line_dedup": lines}
+    from siltstone.llm.substring_dedup import SQL as substrings
+    from siltstone.llm.vector_dedup import SQL as vectors
+
+    return {"op1_line_dedup": lines, "op9_substring_dedup": substrings, "op10_vector_dedup": vectors}

@@ -197,3 +197,16 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     repeated = maybe.groupBy("_b").applyInArrow(_group_exactly, _MESSAGE_DDL)
     out = dealt.groupBy("_s").cogroup(repeated.groupBy("_s")).applyInArrow(_rebuild(width, id_type), f"_id {dealt.schema['_id'].dataType.simpleString()}, n_words bigint, n_removed bigint, kept string, spans array<array<bigint>>")
     return out.withColumnRenamed("_id", id_col)
+
+
+#: DuckDB SQL of the query, which compares the words themselves.  doc_id is assumed not to repeat.
+SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, p, array_to_string(ws[p : p + 34], ' ') AS win FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS p FROM w)),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY win) AS n FROM s) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, p + d AS p FROM r, (SELECT unnest(range(0, 35)) AS d)),
+e AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM e ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""

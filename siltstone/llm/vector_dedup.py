@@ -257,3 +257,17 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     known = known.select("_v", (F.coalesce("_links", F.lit(0)) + F.col("_m") - 1).alias("n_links"), F.coalesce("component", "_id").alias("component_id"))
     out = valid.join(known, "_v").select("_id", "n_links", "component_id").unionByName(rows.where(~fine).select("_id", F.lit(0).cast("bigint").alias("n_links"), F.col("_id").alias("component_id")))
     return out.select(F.col("_id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+#: DuckDB SQL of the query: all pairs, so for small tables.  vec_id is assumed not to repeat.
+SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id, vec_id = coalesce(component_id, vec_id) AS kept
+FROM embeddings LEFT JOIN least USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
