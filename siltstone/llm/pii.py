@@ -43,17 +43,22 @@ TITLES = r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora)\.?"
 
 _GENDER = {n: (script, gender) for (script, gender), names in GIVEN.items() for n in names}
 _CAPITAL = r"[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫЀ-Я][^\W\d_]+(?:-[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫЀ-Я][^\W\d_]+)?"
-_PATTERNS = [
-    ("email", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"), "@"),
-    ("key", re.compile(r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"), "IA"),
-    ("secret", re.compile(r"(?i:password|passwd|secret|token|api_?key)\s*[=:]\s*[\"']?([^\s\"']{8,})"), None),
-    ("ip", re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)"), "."),
-    ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"), "-"),
-    ("card", re.compile(r"(?<![\d-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\d-])"), None),
-    ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3}[ .-]\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4}|(?<=[\d ])\d{2,4}(?:[ .-]\d{2,4}){2,4})(?!\w)"), None),
+_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+_KEY = re.compile(r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b")
+#: What follows the separator of "password = ..."; the word before it is looked at only where this matches.
+_VALUE = re.compile(r"[=:]\s*[\"']?([^\s\"']{8,})")
+_SECRET = re.compile(r"(?i:password|passwd|secret|token|api_?key)\s*$")
+#: Stretches that can hold numbers; the number patterns look at these only.
+_STRETCH = re.compile(r"[\d+(][\d ().+\-]{5,}\d")
+_NUMBERS = [
+    ("ip", re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)")),
+    ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
+    ("card", re.compile(r"(?<![\d-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\d-])")),
+    ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3}[ .-]\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4}|(?<=[\d ])\d{2,4}(?:[ .-]\d{2,4}){2,4})(?!\w)")),
 ]
-_GIVEN_RE = re.compile(r"(?<!\w)(" + "|".join(sorted(_GENDER, key=len, reverse=True)) + r") (" + _CAPITAL + r")(?!\w)")
-_TITLED_RE = re.compile(r"(?<!\w)" + TITLES + r" (" + _CAPITAL + r")(?!\w)")
+# both start with a choice of words, by whose first letters the search skips quickly
+_NAMED = re.compile(r"(" + "|".join(sorted(_GENDER, key=len, reverse=True)) + r") (" + _CAPITAL + r")(?!\w)")
+_TITLED = re.compile(TITLES + r" (" + _CAPITAL + r")(?!\w)")
 _DIGIT = re.compile(r"\d")
 
 
@@ -73,22 +78,43 @@ def canonical(kind: str, mention: str) -> str:
     return mention
 
 
+def _words_from(pattern: re.Pattern, text: str):
+    """Matches that don't start within a word."""
+    m = pattern.search(text)
+    while m:
+        inside = m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_")
+        if not inside:
+            yield m
+        m = pattern.search(text, m.start() + 1 if inside else m.end())
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical form) of all entities; leftmost and then longest wins where they overlap."""
     found = []
-    digits = _DIGIT.search(text) is not None
-    for kind, pattern, hint in _PATTERNS:
-        if (hint is None or hint in text) and (digits or kind in ("email", "key", "secret")):
-            for m in pattern.finditer(text):
-                a, b = m.span(1) if pattern.groups else m.span()
+
+    def add(kind: str, a: int, b: int) -> None:
+        found.append((a, b, kind, canonical(kind, text[a:b])))
+
+    if "@" in text:
+        for m in _EMAIL.finditer(text):
+            add("email", *m.span())
+    if "AKIA" in text or "ASIA" in text:
+        for m in _KEY.finditer(text):
+            add("key", *m.span())
+    for m in _VALUE.finditer(text):
+        if _SECRET.search(text, max(0, m.start() - 24), m.start()):
+            add("secret", *m.span(1))
+    for stretch in _STRETCH.finditer(text):
+        for kind, pattern in _NUMBERS:
+            for m in pattern.finditer(text, stretch.start(), min(len(text), stretch.end() + 1)):
                 if kind != "phone" or 8 <= len(_DIGIT.findall(m[0])) <= 15:
-                    found.append((a, b, kind, canonical(kind, text[a:b])))
-    for m in _GIVEN_RE.finditer(text):
+                    add(kind, *m.span())
+    for m in _words_from(_NAMED, text):
         script, gender = _GENDER[m[1]]
         found.append((*m.span(1), f"given:{script}:{gender}", m[1]))
         if script_of(m[2]) == script:
             found.append((*m.span(2), f"surname:{script}", m[2]))
-    for m in _TITLED_RE.finditer(text):
+    for m in _words_from(_TITLED, text):
         if m[1] not in _GENDER:
             found.append((*m.span(1), f"surname:{script_of(m[1])}", m[1]))
     found.sort(key=lambda x: (x[0], -x[1]))
