@@ -211,34 +211,47 @@ def linked(sets: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> list
 
     A search follows links: each reached set is compared with all that are not reached
     yet, in one pass over their entries, so no linked pair is left in different trees.
+    Sets stand in order of their weights, as a link bounds the ratio of weights; entries that
+    only one set has can't be common and are left out.
     """
-    size = np.array([len(h) for h, _ in sets])
-    every, local = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True)
-    weight = np.concatenate([w for _, w in sets])
     total = np.array([w.sum() for _, w in sets])
-    first = np.concatenate(([0], np.cumsum(size)))
-    owner = segments_to_rows(size)
-    left = np.arange(len(sets))
-    entries = np.arange(len(local))
+    order = np.argsort(total, kind="stable")
+    size = np.array([len(sets[k][0]) for k in order])
+    every, local, holders = np.unique(np.concatenate([sets[k][0] for k in order]), return_inverse=True, return_counts=True)
+    shared = holders[local] > 1
+    owner, local, weight = segments_to_rows(size)[shared], local[shared].astype(np.int32), np.concatenate([sets[k][1] for k in order])[shared]
+    total = total[order]
+    first = np.searchsorted(owner, np.arange(len(sets) + 1))
+    alive = np.diff(first) > 0
     dense = np.zeros(len(every))
     out: list[tuple[int, int]] = []
-    while len(left):
-        queue = [int(left[0])]
-        left = left[1:]
-        while queue and len(left):
+    ids = np.flatnonzero(alive)  # what the packed arrays hold, by weight; some may be reached already
+    p_local, p_weight, p_first, p_total = local, weight, first[np.append(ids, len(sets))], total[ids]
+    for seed in np.flatnonzero(alive):
+        queue = [int(seed)] if alive[seed] else []
+        alive[seed] = False
+        while queue:
+            if alive[ids].sum() < 0.7 * len(ids):
+                flag = alive[ids]
+                keep = np.repeat(flag, np.diff(p_first))
+                p_local, p_weight, sizes = p_local[keep], p_weight[keep], np.diff(p_first)[flag]
+                ids, p_first = ids[flag], np.concatenate(([0], np.cumsum(sizes)))
+                p_total = total[ids]
+            if not len(ids):
+                break
             k = queue.pop()
-            mine = local[first[k] : first[k + 1]]
-            dense[mine] = weight[first[k] : first[k + 1]]
-            if len(entries) > 2 * size[left].sum():  # drop the entries of reached sets now and then
-                flag = np.zeros(len(sets), bool)
-                flag[left] = True
-                entries = entries[flag[owner[entries]]]
-            common = np.bincount(owner[entries], np.minimum(weight[entries], dense[local[entries]]), len(sets))[left]
-            dense[mine] = 0
-            hit = common >= similarity * (total[left] + total[k] - common) - 1e-9
-            out += [(k, int(x)) for x in left[hit]]
-            queue += left[hit].tolist()
-            left = left[~hit]
+            mine = slice(first[k], first[k + 1])
+            lo, hi = np.searchsorted(p_total, [similarity * total[k] - 1e-9, total[k] / similarity + 1e-9])
+            if lo == hi:
+                continue
+            dense[local[mine]] = weight[mine]
+            part = slice(p_first[lo], p_first[hi])
+            common = np.add.reduceat(np.minimum(p_weight[part], dense[p_local[part]]), p_first[lo:hi] - p_first[lo])
+            dense[local[mine]] = 0
+            hit = ids[lo:hi][(common >= similarity * (p_total[lo:hi] + total[k] - common) - 1e-9) & alive[ids[lo:hi]]]
+            alive[hit] = False
+            out += [(int(order[k]), int(order[x])) for x in hit]
+            queue += hit.tolist()
     return out
 
 
