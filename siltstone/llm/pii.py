@@ -45,9 +45,10 @@ _GENDER = {n: (script, gender) for (script, gender), names in GIVEN.items() for
 _CAPITAL = r"[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫЀ-Я][^\W\d_]+(?:-[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫЀ-Я][^\W\d_]+)?"
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 _KEY = re.compile(r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b")
-#: What follows the separator of "password = ..."; the word before it is looked at only where this matches.
-_VALUE = re.compile(r"[=:]\s*[\"']?([^\s\"']{8,})")
-_SECRET = re.compile(r"(?i:password|passwd|secret|token|api_?key)\s*$")
+#: The separator of "password = ...", found by a look ahead, so that a value is searched for separators too; the word before it is looked at only there.
+_SEPARATOR = re.compile(r"[=:](?=\s*[\"']?[^\s\"']{8})")
+_VALUE = re.compile(r"[=:]\s*[\"']?([^\s\"']+)")
+_SECRET = re.compile(r"(?i:password|passwd|secret|token|api_?key)$")
 #: Stretches that can hold numbers; the number patterns look at these only.
 _STRETCH = re.compile(r"[\d+(][\d ().+\-]{5,}\d")
 _NUMBERS = [
@@ -101,9 +102,15 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     if "AKIA" in text or "ASIA" in text:
         for m in _KEY.finditer(text):
             add("key", *m.span())
-    for m in _VALUE.finditer(text):
-        if _SECRET.search(text, max(0, m.start() - 24), m.start()):
-            add("secret", *m.span(1))
+    done = 0  # neither a keyword nor a separator is taken from a secret
+    for m in _SEPARATOR.finditer(text):
+        word = m.start()
+        while word > done and text[word - 1].isspace():
+            word -= 1
+        if _SECRET.search(text, max(done, word - 8), word):
+            value = _VALUE.match(text, m.start())
+            add("secret", *value.span(1))
+            done = value.end()
     for stretch in _STRETCH.finditer(text):
         for kind, pattern in _NUMBERS:
             for m in pattern.finditer(text, stretch.start(), min(len(text), stretch.end() + 1)):

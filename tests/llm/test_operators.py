@@ -394,6 +394,25 @@ def test_surrogates_keep_type_and_shape():
         assert sorted(made) == sorted(names) and all(a != b for a, b in zip(made, names))
 
 
+def test_secrets_within_other_values():
+    for text, secret in [
+        ("config: password=hunter2secret", "hunter2secret"),
+        ("https://x.org/?token=abcdef123456", "abcdef123456"),
+        ("user=admin123&token=abcdef123456", "abcdef123456"),
+        ("login:password=hunter2secret", "hunter2secret"),
+        ("Error: api_key=abcdefgh1234", "abcdefgh1234"),
+        ("password" + " " * 40 + "= hunter2secret", "hunter2secret"),
+    ]:
+        assert [text[a:b] for a, b, k, _ in pii.detect(text) if k == "secret"] == [secret], text
+    plain = re.compile(r"(?i:password|passwd|secret|token|api_?key)\s*[=:]\s*[\"']?([^\s\"']{8,})")
+    rng = random.Random(3)
+    parts = ["password", "Token", "api_key", "APIKEY", "secret", "user", "=", ":", "=", " ", "\n", "'", "abcdefgh", "xyz", "&", "passwd"]
+    for _ in range(20000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(2, 16)))
+        assert [(a, b) for a, b, k, _ in pii.detect(text) if k == "secret"] == [m.span(1) for m in plain.finditer(text)], text
+    pii.detect("=" * 1_000_000)  # time in proportion to the text
+
+
 def test_collisions_are_drawn_again(spark):
     df = spark.createDataFrame([("x", f"{k:03d}") for k in range(300)], "kind string, entity string")
     got = {r["entity"]: r["surrogate"] for r in pii.choose_surrogates(df, b"key").collect()}
