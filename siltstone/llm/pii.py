@@ -4,7 +4,9 @@ Detected entities are brought to a canonical form (digits of a phone number, low
 address, a given name with its gender and script, ...).  A keyed pseudo-random function
 draws a surrogate of the same type and shape for each distinct entity of the corpus, and
 rounds of collision checks redraw where two entities share a surrogate or a surrogate equals
-an entity that occurs.  So different entities stay different and equal ones equal,
+an entity that occurs.  After ``WIDEN`` draws a shape counts as too small for its entities and
+grows by a character (a phone number to ten digits, an IPv4 address to an IPv6 one) with each further draw; a value of neither letters nor
+digits is drawn from both.  So different entities stay different and equal ones equal,
 in all documents and formats.  Given names are permuted within gender and script; surnames
 are composed in their script.
 
@@ -39,6 +41,8 @@ SYLLABLES = {
     "greek": "αλ βαλ γαλ δαλ ζαν θαν καλ λαμ μαν νικ παλ ραλ σαν τακ φαν χαλ".split(),
 }
 ENDINGS = {"latin": ("", "er", "son"), "cyrillic": ("ов", "ин", "енко"), "greek": ("ίδης", "όπουλος", "άκης")}
+#: Draws in an entity's own shape, before the shape grows.
+WIDEN = 8
 TITLES = r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora)\.?"
 
 _GENDER = {n: (script, gender) for (script, gender), names in GIVEN.items() for n in names}
@@ -150,19 +154,23 @@ class Draw:
         return letters[self.below(len(letters))]
 
 
-def _shaped(text: str, draw: Draw) -> str:
-    """Each letter, digit or hex run replaced within its kind."""
+def _shaped(text: str, draw: Draw, more: int = 0) -> str:
+    """Each letter, digit or hex run replaced within its kind, and ``more`` characters added; all are drawn where there is none of these."""
     hexed = re.fullmatch(r"[0-9a-f]+", text) is not None
+    empty = not any(c.isdigit() or c.isalpha() for c in text)
     out = []
     for c in text:
         if hexed:
             out.append(draw.of("0123456789abcdef"))
+        elif empty:
+            out.append(draw.of("abcdefghijklmnopqrstuvwxyz0123456789"))
         elif c.isdigit():
             out.append(draw.of("0123456789"))
         elif c.isalpha():
             out.append(draw.of("ABCDEFGHIJKLMNOPQRSTUVWXYZ" if c.isupper() else "abcdefghijklmnopqrstuvwxyz"))
         else:
             out.append(c)
+    out += [draw.of("0123456789abcdef" if hexed else "abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(more)]
     return "".join(out)
 
 
@@ -177,11 +185,14 @@ def luhn(digits: str) -> int:
 def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
     """A surrogate in canonical form."""
     draw = Draw(key, kind, entity, attempt)
+    more = max(0, attempt - WIDEN + 1)
     if kind == "email":
         local, _, domain = entity.partition("@")
         first, _, rest = domain.partition(".")
         host = _shaped(first, Draw(key, "host", domain, 0))  # one host, one surrogate
-        return f"{_shaped(local, draw)}@{host}.example" + ("." + rest.rpartition(".")[2] if rest else "")
+        return f"{_shaped(local, draw, more)}@{host}.example" + ("." + rest.rpartition(".")[2] if rest else "")
+    if kind == "ip" and more:
+        return "2001:db8:" + ":".join(f"{draw.below(65536):x}" for _ in range(6))
     if kind == "ip":
         return ".".join(str(draw.below(254) + 1) for _ in range(4))
     if kind == "card":
@@ -190,10 +201,12 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
         last = [d for d in "0123456789" if (luhn(body + d) == 0) == valid]
         return body + last[draw.below(len(last))]
     if kind == "ssn":
-        return "9" + "".join(draw.of("0123456789") for _ in entity[1:])
+        return "9" + "".join(draw.of("0123456789") for _ in entity[1:] + "0" * more)
     if kind == "phone":
-        out = draw.of("23456789") + "".join(draw.of("0123456789") for _ in entity[1:])
-        return out[:3] + "555" + out[6:] if len(entity) == 10 and entity[3:6] == "555" else out
+        # beyond ten digits the rest would count as a country code, so the shape grows to ten, and 555 is given up
+        n = max(len(entity), min(len(entity) + more, 10))
+        out = draw.of("23456789") + "".join(draw.of("0123456789") for _ in range(n - 1))
+        return out[:3] + "555" + out[6:] if not more and len(entity) == 10 and entity[3:6] == "555" else out
     if kind == "key":
         return entity[:4] + "".join(draw.of("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in entity[4:])
     if kind.startswith("given:"):
@@ -207,15 +220,18 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
         part = lambda: SYLLABLES[script][draw.below(len(SYLLABLES[script]))]
         name = "".join(part() for _ in range(2 + draw.below(2) + attempt // 4)) + ENDINGS[script][draw.below(3)]
         return "-".join([name.capitalize(), *(part().capitalize() + part() for _ in range(entity.count("-")))])
-    return _shaped(entity, draw)
+    return _shaped(entity, draw, more)
 
 
 def render(kind: str, mention: str, chosen: str) -> str:
     """The surrogate in the mention's own format."""
     if kind in ("card", "ssn", "phone"):
-        rest, out = list(chosen), []
+        rest, out, more = list(chosen), [], len(chosen) - len(canonical(kind, mention))
         for c in reversed(mention):
             out.append(rest.pop() if c.isdigit() and rest else c)
+            if len(rest) == more:  # digits by which the shape has grown go before its first
+                out += reversed(rest)
+                rest = []
         return "".join(reversed(out))
     if kind == "email" and mention.isupper():
         return chosen.upper()

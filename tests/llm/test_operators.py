@@ -419,6 +419,24 @@ def test_collisions_are_drawn_again(spark):
     assert len(set(got.values())) == 300 and not set(got.values()) & set(got) and all(len(v) == 3 for v in got.values())
 
 
+def test_shapes_that_are_too_small_grow(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [("secret", "********"), ("secret", "--------"), ("email", "___@a.com"), ("email", "___@b.com"), *(("email", f"{c}@h.com") for c in letters), *(("x", c) for c in letters), *(("y", f"*******{k}") for k in range(10))]
+    got = {(r["kind"], r["entity"]): r["surrogate"] for r in pii.choose_surrogates(spark.createDataFrame(rows, "kind string, entity string"), b"key").collect()}
+    assert set(got) == set(rows)
+    for kind in {k for k, _ in rows}:
+        new = [s for (k, _), s in got.items() if k == kind]
+        assert len(set(new)) == len(new) and not set(new) & {e for k, e in rows if k == kind}
+    assert got["secret", "********"].isalnum() and len(got["secret", "********"]) == 8
+    late = pii.WIDEN + 1
+    assert pii.render("ssn", "123-45-6789", pii.surrogate(b"k", "ssn", "123456789", late)).replace("-", "") == pii.surrogate(b"k", "ssn", "123456789", late) and len(pii.surrogate(b"k", "ssn", "123456789", late)) == 11
+    phone = pii.surrogate(b"k", "phone", "98855512", late)
+    assert len(phone) == 10 and pii.render("phone", "98 85 55 12", phone).replace(" ", "") == phone
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", pii.render("phone", "+1 (988) 555-2485", pii.surrogate(b"k", "phone", "9885552485", late)))
+    text = pii.replace_entities(table(spark, [(1, "password: ******** and token = --------")]), b"key").first()
+    assert text["n_entities"] == 2 and "**" not in text["text"] and "--" not in text["text"]
+
+
 def test_replacement_in_documents(spark):
     rows = [(1, "mail a.b@c.org and a.b@c.org"), (2, "A.B@C.ORG again; d.e@c.org"), (3, None), (4, ""), (None, "call 212-555-0100"), (5, "clean"), (6, "a.b@c.org"), (6, "a.b@c.org"), (7, "w " * 20000 + "a.b@c.org")]
     got = pii.replace_entities(table(spark, rows), b"key")
