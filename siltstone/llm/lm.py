@@ -1,14 +1,16 @@
 """Language-model scores from a log-bilinear neural model.
 
 Tokens are words and one end for each text.  The model's symbols are the most frequent
-words, the end, and classes of all other words (by their last bytes).  It predicts
-the next symbol from the last ``CONTEXT`` ones (Mnih & Hinton 2007, with diagonal context
-weights): s(w | c) = r_w . sum_i c_i * e_i + b_w.  Training is noise-contrastive estimation in
-numpy with shared noise samples, over every training text: each slice trains a copy
-from common parameters, and copies are averaged by their numbers of tokens.  Scoring
-normalises exactly: a matrix product gives all symbols' scores for a batch of contexts, and
-a softmax their probabilities; a word outside the symbols shares its class's probability by
-its count plus one.  Counts cover all training texts; only the model and fixed-size summaries
+words, the end, and classes of all other words (by their last bytes); their number grows with
+the root of the counted tokens.  It predicts the next symbol from the last ``CONTEXT`` ones (Mnih & Hinton 2007,
+with diagonal context weights): s(w | c) = r_w . sum_i c_i * e_i + b_w.  Symbols in order of frequency
+form groups of about the root of their number, and the probability is that of the group (a head of its
+own on the same context) times that within the group, so a softmax costs two roots.
+Training is noise-contrastive estimation in numpy with shared noise samples (an exact softmax for the groups), over every training
+text: each partition trains a copy from common parameters over all its texts of the round, and copies are
+averaged, a symbol's rows by how often each copy met it.  The number of rounds grows with the logarithm of the tokens.
+Scoring normalises exactly; a word outside the symbols shares its class's probability by
+its count plus one.  Counts cover all training texts; only the model and summaries of its size
 reach the driver.
 """
 
@@ -25,14 +27,27 @@ from siltstone.llm import slices as S
 from siltstone.llm.common import arrow_type, crc_remainder, cut, view
 from siltstone.llm.kernels import LOWER, U, chunks, flatten, segments_to_rows, span_hashes, words
 
-TOP, CLASSES, CONTEXT, DIM = 192, 63, 4, 24
-END = TOP + CLASSES
-SYMBOLS = END + 1
+CLASSES, CONTEXT, DIM = 63, 4, 24
+#: The least number of symbols; the last ones are the classes and the end.
+SYMBOLS = 256
 NOISE, BATCH = 48, 1024
 _BLOCK_DDL = "_b int, _h binary, _c binary, _k binary"
 _BLOCK = pa.schema([("_b", pa.int32()), ("_h", pa.binary()), ("_c", pa.binary()), ("_k", pa.binary())])
 
 
+def symbols_for(tokens: int) -> int:
+    """A power of two, near the root of the number of tokens."""
+    return max(SYMBOLS, 1 << (max(1, tokens).bit_length() // 2))
+
+
+def rounds_for(tokens: int) -> int:
+    return max(3, tokens.bit_length() - 20)
+
+
+def group_width(symbols: int) -> int:
+    return 1 << ((symbols.bit_length() - 1) // 2)
+
+
 def _words(column):
     """For bounded runs of texts: first and last text, hashes and classes of words, index of each text's first word."""
     buf, offsets = flatten(column)
@@ -77,43 +92,59 @@ def _add(t: pa.Table) -> pa.Table:
     return S.table_of(_BLOCK, [[t["_b"][0].as_py()], [h.tobytes()], [n.tobytes()], [k.tobytes()]])
 
 
-def _summary(batches):
-    """The ``TOP`` most frequent words of each block, and its sums by class (hash null)."""
-    for b in batches:
-        for row in b.to_pylist():
-            h, n, k = np.frombuffer(row["_h"], np.int64), np.frombuffer(row["_c"], np.int64), np.frombuffer(row["_k"], np.uint8)
-            top = np.lexsort((h, -n))[:TOP]
-            tokens = np.bincount(k, weights=n, minlength=CLASSES).astype(np.int64)
-            types = np.bincount(k, minlength=CLASSES)
-            live = np.flatnonzero(types)
-            yield pa.RecordBatch.from_arrays([pa.array([*h[top].tolist(), *[None] * len(live)], pa.int64()), pa.array([*k[top].tolist(), *live.tolist()], pa.int32()), pa.array([*n[top].tolist(), *tokens[live].tolist()], pa.int64()), pa.array([*[1] * len(top), *types[live].tolist()], pa.int64())], names=["h", "k", "n", "v"])
+def _summary(blocks: int):
+    # Hashes spread evenly, so a block holds its share of the most frequent words; four times that and some more lose none.
+    most = 192 + 4 * symbols_for(blocks * S.SLICE_BYTES) // blocks
+
+    def run(batches):
+        """The most frequent words of each block, and its sums by class (hash null)."""
+        for b in batches:
+            for row in b.to_pylist():
+                h, n, k = np.frombuffer(row["_h"], np.int64), np.frombuffer(row["_c"], np.int64), np.frombuffer(row["_k"], np.uint8)
+                top = np.lexsort((h, -n))[:most]
+                tokens = np.bincount(k, weights=n, minlength=CLASSES).astype(np.int64)
+                types = np.bincount(k, minlength=CLASSES)
+                live = np.flatnonzero(types)
+                yield pa.RecordBatch.from_arrays([pa.array([*h[top].tolist(), *[None] * len(live)], pa.int64()), pa.array([*k[top].tolist(), *live.tolist()], pa.int32()), pa.array([*n[top].tolist(), *tokens[live].tolist()], pa.int64()), pa.array([*[1] * len(top), *types[live].tolist()], pa.int64())], names=["h", "k", "n", "v"])
+
+    return run
 
 
 @dataclass
 class Lexicon:
-    """Symbols and counts: fixed in size, whatever the corpus."""
+    """Symbols and counts."""
 
+    size: int  # symbols
     top: np.ndarray  # sorted hashes
-    top_counts: np.ndarray
+    rank: np.ndarray  # their places by frequency
+    top_counts: np.ndarray  # by frequency
     class_tokens: np.ndarray  # without the top words
     class_types: np.ndarray
     ends: int
     tokens: int
     types: int
 
+    @property
+    def end(self) -> int:
+        return self.size - 1
+
+    @property
+    def first_class(self) -> int:
+        return self.size - 1 - CLASSES
+
     def symbols(self, h: np.ndarray, k: np.ndarray) -> np.ndarray:
         if not len(self.top):
-            return TOP + k.astype(np.int64)
+            return self.first_class + k.astype(np.int64)
         at = np.searchsorted(self.top, h)
         at[at == len(self.top)] = 0
-        return np.where(self.top[at] == h, at, TOP + k.astype(np.int64))
+        return np.where(self.top[at] == h, self.rank[at], self.first_class + k.astype(np.int64))
 
     def unigram(self) -> np.ndarray:
-        p = np.zeros(SYMBOLS)
+        p = np.zeros(self.size)
         p[: len(self.top)] = self.top_counts
-        p[TOP:END] = self.class_tokens + self.class_types
-        p[END] = self.ends
-        p[TOP:] += 1
+        p[self.first_class : self.end] = self.class_tokens + self.class_types
+        p[self.end] = self.ends
+        p[self.first_class :] += 1
         return p / p.sum()
 
 
@@ -123,138 +154,197 @@ class Model:
     c: np.ndarray
     r: np.ndarray
     b: np.ndarray
+    gr: np.ndarray  # of groups of symbols
+    gb: np.ndarray
 
-    def log_probs(self, context: np.ndarray) -> np.ndarray:
-        """Normalised log-probabilities of all symbols, a row for each context (most recent symbol first)."""
+    def arrays(self) -> list[np.ndarray]:
+        return [self.e, self.c, self.r, self.b, self.gr, self.gb]
+
+    def _query(self, context: np.ndarray) -> np.ndarray:
         q = self.c[0] * self.e[context[:, 0]]
         for i in range(1, CONTEXT):
             q += self.c[i] * self.e[context[:, i]]
-        s = q @ self.r.T + self.b
-        s -= s.max(axis=1, keepdims=True)
-        return s - np.log(np.exp(s).sum(axis=1, keepdims=True))
+        return q
+
+    def log_probs(self, context: np.ndarray) -> np.ndarray:
+        """Normalised log-probabilities of all symbols, a row for each context (most recent symbol first)."""
+        q = self._query(context)
+
+        def normal(s):
+            s = s - s.max(axis=-1, keepdims=True)
+            return s - np.log(np.exp(s).sum(axis=-1, keepdims=True))
+
+        within = normal((q @ self.r.T + self.b).reshape(len(q), len(self.gb), -1))
+        return (normal(q @ self.gr.T + self.gb)[:, :, None] + within).reshape(len(q), -1)
 
     def log_prob(self, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         out = np.empty(len(symbol), np.float64)
-        for a in range(0, len(symbol), 4096):
-            part = slice(a, a + 4096)
-            q = self.c[0] * self.e[context[part, 0]]
-            for i in range(1, CONTEXT):
-                q += self.c[i] * self.e[context[part, i]]
-            s = q @ self.r.T + self.b
-            mine = s[np.arange(len(s)), symbol[part]].astype(np.float64)
-            top = s.max(axis=1)
-            s -= top[:, None]
-            np.exp(s, out=s)
-            out[part] = mine - top - np.log(s.sum(axis=1, dtype=np.float64))
+        width = len(self.b) // len(self.gb)
+        for a in range(0, len(symbol), 1 << 16):
+            q, w = self._query(context[a : a + (1 << 16)]), symbol[a : a + (1 << 16)].astype(np.int64)
+            group = w // width
+            order = np.argsort(group, kind="stable")
+            q, w, group = q[order], w[order], group[order]
+            p = np.empty(len(w), np.float64)
+            for z in range(0, len(w), 4096):
+                p[z : z + 4096] = _own(q[z : z + 4096], self.gr, self.gb, group[z : z + 4096])
+            edges = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [len(group)]))
+            for i, j in zip(edges[:-1], edges[1:]):
+                first = group[i] * width
+                for z in range(i, j, 4096):
+                    part = slice(z, min(z + 4096, j))
+                    p[part] += _own(q[part], self.r[first : first + width], self.b[first : first + width], w[part] - first)
+            out[a + order] = p
         return out
 
 
+def _own(q: np.ndarray, r: np.ndarray, b: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log of the softmax at one place a row."""
+    s = q @ r.T + b
+    mine = s[np.arange(len(s)), at].astype(np.float64)
+    top = s.max(axis=1)
+    s -= top[:, None]
+    np.exp(s, out=s)
+    return mine - top - np.log(s.sum(axis=1, dtype=np.float64))
+
+
 def start(unigram: np.ndarray, seed: int = 5) -> Model:
     rng = np.random.default_rng(seed)
-    f = np.float32
-    return Model(rng.normal(0, 0.3, (SYMBOLS, DIM)).astype(f), np.ones((CONTEXT, DIM), f) / CONTEXT, rng.normal(0, 0.05, (SYMBOLS, DIM)).astype(f), np.log(np.maximum(unigram, 1e-12)).astype(f))
+    f, n = np.float32, len(unigram)
+    group = unigram.reshape(-1, group_width(n)).sum(1)
+    e, r, gr = (rng.normal(0, sd, (k, DIM)).astype(f) for sd, k in ((0.3, n), (0.05, n), (0.05, len(group))))
+    return Model(e, np.ones((CONTEXT, DIM), f) / CONTEXT, r, np.log(np.maximum(unigram, 1e-12)).astype(f), gr, np.log(np.maximum(group, 1e-12)).astype(f))
 
 
-def _scatter(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+def _descend(parameters: list, sums: list, at: np.ndarray, gradients: list, rate: float) -> None:
+    """An Adagrad step for the rows ``at``, which may repeat."""
     order = np.argsort(at, kind="stable")
     a = at[order]
     new = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))
-    out[a[new]] += np.add.reduceat(rows[order], new, axis=0)
+    a = a[new]
+    for p, s, g in zip(parameters, sums, gradients):
+        d = np.add.reduceat(g[order], new, axis=0)
+        s[a] += d * d
+        p[a] -= rate * d / np.sqrt(s[a])
 
 
-def train(model: Model, context: np.ndarray, symbol: np.ndarray, unigram: np.ndarray, seed: int, rate: float = 0.15) -> Model:
-    """One pass of noise-contrastive estimation with Adagrad; gives new parameters."""
+def train(model: Model, context: np.ndarray, symbol: np.ndarray, unigram: np.ndarray, seed: int, rate: float = 0.15, sums: list | None = None) -> Model:
+    """One pass of noise-contrastive estimation with Adagrad; gives new parameters.  ``sums`` (empty at first) carries Adagrad's state on."""
     rng = np.random.default_rng(seed)
-    e, c, r, b = (x.copy() for x in (model.e, model.c, model.r, model.b))
-    sums = [np.full(x.shape, 1e-2, np.float32) for x in (e, c, r, b)]
-    log_noise = np.log(NOISE * unigram).astype(np.float32)
-    law = np.cumsum(unigram)
+    e, c, r, b, gr, gb = (x.copy() for x in model.arrays())
+    sums = [] if sums is None else sums
+    if not sums:
+        sums += [np.full(x.shape, 1e-2, np.float32) for x in (e, c, r, b, gr, gb)]
+    log_noise = np.log(np.maximum(NOISE * unigram, 1e-12)).astype(np.float32)
+    law, width = np.cumsum(unigram), len(b) // len(gb)
     order = rng.permutation(len(symbol))
     for a in range(0, len(order), BATCH):
         pick = order[a : a + BATCH]
         x, w = context[pick], symbol[pick]
-        noise = np.minimum(np.searchsorted(law, rng.random(NOISE)), SYMBOLS - 1)
+        noise = np.minimum(np.searchsorted(law, rng.random(NOISE)), len(b) - 1)
         emb = e[x]  # batch, context, dim
         q = np.einsum("bid,id->bd", emb, c)
-        rw = r[w]
-        g = 1 / (1 + np.exp(-((q * rw).sum(1) + b[w] - log_noise[w]))) - 1
-        gn = 1 / (1 + np.exp(-(q @ r[noise].T + b[noise] - log_noise[noise])))
+        rw, rn = r[w], r[noise]
         n = len(pick)
+        g = 1 / (1 + np.exp(-((q * rw).sum(1) + b[w] - log_noise[w]))) - 1
+        gn = 1 / (1 + np.exp(-(q @ rn.T + b[noise] - log_noise[noise])))
         g, gn = (g / n).astype(np.float32), (gn / n).astype(np.float32)
-        dq = g[:, None] * rw + gn @ r[noise]
-        dr, db, de = np.zeros_like(r), np.bincount(w, g, SYMBOLS).astype(np.float32), np.zeros_like(e)
-        _scatter(dr, w, g[:, None] * q)
-        np.add.at(dr, noise, gn.T @ q)
-        np.add.at(db, noise, gn.sum(0))
-        dc = np.einsum("bd,bid->id", dq, emb)
-        _scatter(de, x.ravel(), (dq[:, None, :] * c).reshape(-1, DIM))
-        for p, d, s in zip((e, c, r, b), (de, dc, dr, db), sums):
+        gg = q @ gr.T + gb
+        gg = np.exp(gg - gg.max(axis=1, keepdims=True))
+        gg /= gg.sum(axis=1, keepdims=True)
+        gg[np.arange(n), w // width] -= 1
+        gg /= n
+        dq = g[:, None] * rw + gn @ rn + gg @ gr
+        at = np.concatenate((w, noise))
+        _descend([r, b], sums[2:4], at, [np.concatenate((g[:, None] * q, gn.T @ q)), np.concatenate((g, gn.sum(0)))], rate)
+        _descend([e], sums[:1], x.ravel(), [(dq[:, None, :] * c).reshape(-1, DIM)], rate)
+        for p, d, s in ((c, np.einsum("bd,bid->id", dq, emb), sums[1]), (gr, gg.T @ q, sums[4]), (gb, gg.sum(0), sums[5])):
             s += d * d
             p -= rate * d / np.sqrt(s)
-    return Model(e, c, r, b)
+    return Model(e, c, r, b, gr, gb)
 
 
 def sequence(h: np.ndarray, k: np.ndarray, first: np.ndarray, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Contexts and symbols of all tokens, an end after each text, and the index of each text's first token."""
     n = len(first) - 1
-    sym = np.insert(lexicon.symbols(h, k), first[1:], END).astype(np.int16)
+    sym = np.insert(lexicon.symbols(h, k), first[1:], lexicon.end).astype(np.int32)
     begin = first + np.arange(n + 1)
     lead = np.arange(len(sym)) - np.repeat(begin[:-1], np.diff(begin))
-    context = np.full((len(sym), CONTEXT), END, np.int16)  # before a text: as after one
+    context = np.full((len(sym), CONTEXT), lexicon.end, np.int32)  # before a text: as after one
     for i in range(CONTEXT):
-        context[i + 1 :, i] = np.where(lead[i + 1 :] > i, sym[: len(sym) - i - 1], END)
+        context[i + 1 :, i] = np.where(lead[i + 1 :] > i, sym[: len(sym) - i - 1], lexicon.end)
     return context, sym, begin
 
 
-def _pack(m: Model) -> bytes:
-    return b"".join(x.astype("<f4").tobytes() for x in (m.e, m.c, m.r, m.b))
+def _pack(m: Model, met: np.ndarray) -> bytes:
+    return b"".join(x.astype("<f4").tobytes() for x in (*m.arrays(), met))
 
 
-def _unpack(data: np.ndarray) -> Model:
-    shapes = [(SYMBOLS, DIM), (CONTEXT, DIM), (SYMBOLS, DIM), (SYMBOLS,)]
+def _unpack(data: bytes, size: int) -> tuple[Model, np.ndarray]:
+    """A model and how often each symbol was met."""
+    groups = size // group_width(size)
+    shapes = [(size, DIM), (CONTEXT, DIM), (size, DIM), (size,), (groups, DIM), (groups,), (size,)]
     ends = np.cumsum([int(np.prod(s)) for s in shapes])
-    return Model(*[x.reshape(s).astype(np.float32) for x, s in zip(np.split(data, ends[:-1]), shapes)])
+    *parts, met = [x.reshape(s) for x, s in zip(np.split(np.frombuffer(data, "<f4"), ends[:-1]), shapes)]
+    return Model(*parts), met
 
 
 def _trainer(model: Model, lexicon: Lexicon, seed: int):
     unigram = lexicon.unigram()
 
     def run(batches):
-        """Trains from ``model`` on each MB or so of text; gives the token-weighted sum of copies of this partition."""
-        total, tokens = None, 0
+        """Trains a copy of ``model`` on the texts of this partition, by some 400,000 tokens at a time."""
+        mine, sums, met, tokens = model, [], np.zeros(lexicon.size, np.int64), 0
+        pending, size = [], 0
+
+        def learn():
+            nonlocal mine, tokens, met
+            x, w = np.concatenate([p[0] for p in pending]), np.concatenate([p[1] for p in pending]).astype(np.int64)
+            mine = train(mine, x, w, unigram, seed + tokens + size, sums=sums)
+            met += np.bincount(w, minlength=lexicon.size)
+            tokens += size
+
         for b in batches:
-            pending, size = [], 0
-            parts = list(_words(b.column(b.schema.get_field_index("_text"))))
-            for at, (_, _, h, k, first) in enumerate(parts):
+            for _, _, h, k, first in _words(b.column(b.schema.get_field_index("_text"))):
                 x, w, _ = sequence(h, k, first, lexicon)
                 pending.append((x, w))
                 size += len(w)
-                if size >= 400_000 or at == len(parts) - 1:
-                    x, w = np.concatenate([p[0] for p in pending]), np.concatenate([p[1] for p in pending])
-                    m = train(model, x, w.astype(np.int64), unigram, seed + size)
-                    flat = np.concatenate([p.ravel() for p in (m.e, m.c, m.r, m.b)]).astype(np.float64) * size
-                    total, tokens = flat if total is None else total + flat, tokens + size
+                if size >= 400_000:
+                    learn()
                     pending, size = [], 0
+        if size:
+            learn()
         if tokens:
-            yield pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), pa.array([(total / tokens).astype("<f4").tobytes()], pa.binary()), pa.array([0], pa.int32())], names=["n", "m", "g"])
+            yield pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), pa.array([_pack(mine, met)], pa.binary()), pa.array([0], pa.int32())], names=["n", "m", "g"])
 
     return run
 
 
-def _average(t: pa.Table) -> pa.Table:
-    n = np.array(t["n"].to_pylist(), np.float64)
-    flat = sum(w * np.frombuffer(x.as_py(), "<f4").astype(np.float64) for w, x in zip(n, t["m"])) / n.sum()
-    return pa.table({"n": pa.array([int(n.sum())], pa.int64()), "m": pa.array([flat.astype("<f4").tobytes()], pa.binary()), "g": pa.array([0], pa.int32())})
+def _averager(size: int):
+    def run(t: pa.Table) -> pa.Table:
+        """Mean of copies: by tokens, and a symbol's rows by how often the copy met it."""
+        total, sums, met = 0, None, np.zeros(size)
+        for n, data in zip(t["n"].to_pylist(), t["m"]):
+            m, seen = _unpack(data.as_py(), size)
+            by = seen.astype(np.float64) + n * 1e-9  # a symbol met by no copy: by tokens
+            weighted = [x * (by[:, None] if x.ndim == 2 else by) if i in (0, 2, 3) else x * np.float64(n) for i, x in enumerate(m.arrays())]
+            sums = weighted if sums is None else [a + b for a, b in zip(sums, weighted)]
+            total, met = total + n, met + seen
+        by = met + total * 1e-9
+        mean = Model(*[x / (by[:, None] if x.ndim == 2 else by) if i in (0, 2, 3) else x / total for i, x in enumerate(sums)])
+        return pa.table({"n": pa.array([total], pa.int64()), "m": pa.array([_pack(mean, met)], pa.binary()), "g": pa.array([0], pa.int32())})
+
+    return run
 
 
 def _round(rows: DataFrame, model: Model, lexicon: Lexicon, seed: int) -> Model:
-    """Trains copies and averages them, in two steps, so one task averages at most some hundred."""
+    """Trains copies and averages them, in three steps, so one task averages few."""
     ddl = "n bigint, m binary, g int"
     copies = rows.mapInArrow(_trainer(model, lexicon, seed), ddl)
-    for width in (256, 1):
-        copies = copies.withColumn("g", F.pmod(F.xxhash64("m"), F.lit(width)).cast("int")).groupBy("g").applyInArrow(_average, ddl)
+    for width in (256, 16, 1):
+        copies = copies.withColumn("g", F.pmod(F.xxhash64("m"), F.lit(width)).cast("int")).groupBy("g").applyInArrow(_averager(lexicon.size), ddl)
     got = copies.collect()
-    return _unpack(np.frombuffer(got[0]["m"], "<f4")) if got else model
+    return _unpack(got[0]["m"], lexicon.size)[0] if got else model
 
 
 def _ask(blocks: int):
@@ -308,7 +398,7 @@ def _scorer(model: Model, lexicon: Lexicon, id_type: pa.DataType):
             c = np.insert(c, first[1:], lexicon.ends)
             kind = np.insert(k, first[1:], 0)
             log_p = model.log_prob(x, w)
-            rest = (w >= TOP) & (w < END)
+            rest = (w >= lexicon.first_class) & (w < lexicon.end)
             log_p[rest] += np.log(c[rest] + 1.0) - room[kind[rest]]
             sums = lambda v: np.add.reduceat(v, begin[:-1])  # noqa: E731  every text has its end at least
             n_tokens.append(np.diff(begin))
@@ -325,19 +415,20 @@ def learn_counts(training: DataFrame, blocks: int) -> tuple[DataFrame, Lexicon]:
     """Exact counts of all words of ``_text``, in blocks of the hash range, and what of them the driver needs."""
     counts = cut(training.select("_text").mapInArrow(_count(blocks), _BLOCK_DDL).groupBy("_b").applyInArrow(_add, _BLOCK_DDL))
     ends = training.count()
-    summary = cut(counts.mapInArrow(_summary, "h bigint, k int, n bigint, v bigint"))
-    top = summary.where("h is not null").orderBy(F.desc("n"), "h").limit(TOP).collect()
+    summary = cut(counts.mapInArrow(_summary(blocks), "h bigint, k int, n bigint, v bigint"))
     sums = {r["k"]: r for r in summary.where("h is null").groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()}
     tokens, types = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     for k, r in sums.items():
         tokens[k], types[k] = r["n"], r["v"]
     total, kinds = int(tokens.sum()) + ends, int(types.sum()) + (ends > 0)
+    size = symbols_for(total)
+    top = summary.where("h is not null").orderBy(F.desc("n"), "h").limit(size - 1 - CLASSES).collect()
     for r in top:
         tokens[r["k"]] -= r["n"]
         types[r["k"]] -= 1
     h = np.array([r["h"] for r in top], np.int64).view(U)
     order = np.argsort(h)
-    return counts, Lexicon(h[order], np.array([r["n"] for r in top], np.int64)[order], tokens, types, ends, total, kinds)
+    return counts, Lexicon(size, h[order], order, np.array([r["n"] for r in top], np.int64), tokens, types, ends, total, kinds)
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_where: Column | None = None) -> DataFrame:
@@ -348,7 +439,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``trained`` (it was learned from), ``n_tokens``, ``n_known`` (tokens seen in training), ``train_tokens``,
     ``base_score`` (unigram log10 probability, add-one) and ``score`` (the model's).
 
-    The model trains first on an eighth of the training texts, by hash, and then on all.
+    The model trains in rounds on parts of the training texts, by hash, and on all of them in each round if there are
+    few (4M tokens).
     Null or empty text: an end alone.  Null ids pass; repeated rows each count.
     Without training texts the model is uniform.  An empty table gives
     an empty result; other columns are ignored.
@@ -361,9 +453,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counts, lexicon = learn_counts(training, n)
     model = start(lexicon.unigram())
     if lexicon.ends:
-        eighth = training.where(F.pmod(F.xxhash64("_id", "_text"), F.lit(8)) == 0)
-        for part, seed in ((eighth, 1), (training, 2)):
-            model = _round(part.select("_text"), model, lexicon, seed)
+        rounds = rounds_for(lexicon.tokens)
+        for k in range(rounds):
+            part = training if lexicon.tokens < 1 << 22 else training.where(F.pmod(F.xxhash64("_id", "_text"), F.lit(rounds)) == k)
+            model = _round(part.select("_text"), model, lexicon, k + 1)
     dealt = S.deal(rows, n)
     ask, ddl = _ask(n)
     asked = dealt.groupBy("_s").applyInArrow(ask, ddl)

@@ -119,6 +119,31 @@ def test_lm_is_normalised():
     assert trained.log_prob(x, w).mean() > model.log_prob(x, w).mean() + 1
 
 
+def test_lm_vocabulary_grows_with_the_corpus(spark):
+    from siltstone.llm import lm
+
+    sizes = [lm.symbols_for(10**k) for k in range(4, 13)]
+    assert sizes == sorted(sizes) and sizes[0] == 256 and sizes[-1] >= 2**19
+    assert lm.rounds_for(10**11) > lm.rounds_for(10**9) > lm.rounds_for(10**7)
+    # each of 400 equally frequent words is followed by one other: only a model that knows them all can tell
+    rng = random.Random(1)
+    texts = []
+    for _ in range(1500):
+        k = rng.randrange(400)
+        texts.append(" ".join(f"w{(k + i) % 400}x" for i in range(200)))
+    counts, lexicon = lm.learn_counts(table(spark, list(enumerate(texts))).select(F.col("text").alias("_text")), 16)
+    assert lexicon.size == 512 and len(lexicon.top) == 400 and not lexicon.class_tokens.any() and lexicon.tokens == 1500 * 201
+    rows = pa.record_batch({"_text": pa.array(texts)})
+    got = [b.to_pydict() for b in lm._trainer(lm.start(lexicon.unigram()), lexicon, 1)(iter([rows]))]
+    mean = lm._averager(lexicon.size)(pa.table({"n": [g["n"][0] for g in got] * 2, "m": pa.array([g["m"][0] for g in got] * 2, pa.binary())}))
+    model, met = lm._unpack(mean["m"][0].as_py(), lexicon.size)
+    _, _, h, k, first = next(lm._words(pa.array(texts[:50])))
+    x, w, _ = lm.sequence(h, k, first, lexicon)
+    p = model.log_probs(x)
+    assert met.sum() == 2 * lexicon.tokens and np.allclose(np.exp(p).sum(1), 1, atol=1e-3) and np.allclose(model.log_prob(x, w), p[np.arange(len(w)), w], atol=1e-3)
+    assert model.log_prob(x, w).mean() > np.log(lexicon.unigram()[w]).mean() + 1
+
+
 # packing
 
 
