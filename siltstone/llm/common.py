@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Keys that hold more than this fraction of all rows are fewer than this, so they can be broadcast.
+HEAVY = 1000
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder named by ``spark.checkpoint.dir``; make one only where none is set."""
@@ -64,6 +67,26 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread_join(many: DataFrame, few: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """Inner join with ``few`` (one row a key, keys not null) in which no key's rows gather in one task.
+
+    ``count``: the column of ``few`` that tells how many rows of ``many`` hold the key; ``total``: a bound of their sum.
+    A key that holds more than a ``HEAVY``-th of all rows is one of fewer than ``HEAVY``, so these are
+    broadcast, and their rows pass the shuffle for the others under salts.
+    """
+    limit, values = total // HEAVY, [c for c in few.columns if c not in keys]
+    heavy = few.where(F.col(count) > limit).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.struct(*values).alias("_heavy"))
+    others = few.where(F.col(count) <= limit).select(*keys, F.lit(0).alias("_salt"), F.struct(*values).alias("_other"))
+    on = None
+    for i, k in enumerate(keys):
+        one = F.col(k) == F.col(f"_k{i}")
+        on = one if on is None else on & one
+    marked = many.join(F.broadcast(heavy), on, "left")
+    salt = F.when(F.col("_heavy").isNotNull(), F.pmod(F.xxhash64(*many.columns), F.lit(1 << 20)) + 1).otherwise(0).cast("int")
+    out = marked.withColumn("_salt", salt).join(others, [*keys, "_salt"], "left").withColumn("_found", F.coalesce("_heavy", "_other"))
+    return out.where("_found is not null").select(*many.columns, "_found.*")
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest reachable node of every node that has an edge.
 
@@ -71,8 +94,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     ignored, direction and repeats do not matter.  Returns ``node, component``
     (``component`` is never above ``node``).  Alternates large-star and
     small-star rewrites (Kiveris et al. 2014), all as DataFrame operations; every round is
-    checkpointed, and only two counters reach the driver.  An empty input gives an
-    empty result.
+    checkpointed, and only two counters reach the driver.  A star's centre is looked up by
+    ``spread_join``, so its edges don't gather.  An empty input gives an empty result.
     """
 
     def digest(df: DataFrame):
@@ -87,11 +110,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         # large star: every larger neighbour of a node is tied to the least of its closed neighbourhood
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("_m"), F.count("*").alias("_n"))
+        large = spread_join(both, least, ["a"], "_n", 2 * was[0]).where("b > a").select(F.col("b").alias("a"), F.col("_m").alias("b")).where("a <> b").distinct()
         # small star: every smaller neighbour of a node, and the node, are tied to the least of them
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("x"), F.col("m").alias("y")), F.struct(F.col("a").alias("x"), F.col("m").alias("y")))).alias("s")).select(F.col("s.x").alias("a"), F.col("s.y").alias("b")).where("a <> b").distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("_m"), F.count("*").alias("_n"))
+        small = spread_join(large, least, ["a"], "_n", was[0]).select(F.explode(F.array(F.struct(F.col("b").alias("x"), F.col("_m").alias("y")), F.struct(F.col("a").alias("x"), F.col("_m").alias("y")))).alias("s")).select(F.col("s.x").alias("a"), F.col("s.y").alias("b")).where("a <> b").distinct()
         e = cut(small)
         now = digest(e)
         if now == was:

@@ -3,6 +3,8 @@
 All in DataFrame operations: lines are hashed, each run of ``width`` lines becomes a
 window (128 bits of hash), windows are grouped with map-side combining to find
 the first occurrence of each repeated one, and each later occurrence covers its lines.
+Windows are made once (checkpointed, 48 bytes each).  The first occurrences of windows that hold a thousandth of all
+repeats or more are broadcast, so a boilerplate window's rows stay where they are.
 Texts are shuffled once, to meet the covered line numbers of their document.
 """
 
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import importable
+from siltstone.llm.common import cut, importable, spread_join
 
 
 def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
@@ -45,8 +47,11 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         return F.struct(p.alias("_p"), F.exists(part, lambda x: ~x["e"]).alias("_said"), F.xxhash64(F.transform(part, lambda x: x["a"])).alias("_a"), F.xxhash64(F.transform(part, lambda x: x["b"])).alias("_b"))
 
     windows = lines.select("_id", "_h", F.explode(F.transform(F.sequence(F.lit(0), F.size("_l") - width), window)).alias("_w")).select("_id", "_h", "_w.*").where("_said").drop("_said")
-    first = windows.groupBy("_a", "_b").agg(F.min(F.struct("_id", "_h", "_p")).alias("_f"), F.max(F.struct("_id", "_h", "_p")).alias("_z")).where(~F.col("_f").eqNullSafe(F.col("_z")))
-    later = windows.join(first, ["_a", "_b"]).where(~F.struct("_id", "_h", "_p").eqNullSafe(F.col("_f"))).select("_id", "_h", "_p")
+    windows = cut(windows)
+    first = windows.groupBy("_a", "_b").agg(F.min(F.struct("_id", "_h", "_p")).alias("_f"), F.max(F.struct("_id", "_h", "_p")).alias("_z"), F.count("*").alias("_n")).where(~F.col("_f").eqNullSafe(F.col("_z"))).drop("_z")
+    first = cut(first)
+    repeats = first.agg(F.sum("_n")).first()[0] or 0
+    later = spread_join(windows, first, ["_a", "_b"], "_n", repeats).where(~F.struct("_id", "_h", "_p").eqNullSafe(F.col("_f"))).select("_id", "_h", "_p")
     # a document's covered lines are bounded by its own length
     gone = later.groupBy("_id", "_h").agg(F.collect_set("_p").alias("_c")).select(F.col("_id").alias("_gid"), F.col("_h").alias("_gh"), F.array_distinct(F.flatten(F.transform("_c", lambda p: F.sequence(p, p + k)))).alias("_gone"))
     out = rows.join(gone, rows["_id"].eqNullSafe(gone["_gid"]) & rows["_h"].eqNullSafe(gone["_gh"]), "left")

@@ -7,8 +7,9 @@ with diagonal context weights): s(w | c) = r_w . sum_i c_i * e_i + b_w.  Symbols
 form groups of about the root of their number, and the probability is that of the group (a head of its
 own on the same context) times that within the group, so a softmax costs two roots.
 Training is noise-contrastive estimation in numpy with shared noise samples (an exact softmax for the groups), over every training
-text: each partition trains a copy from common parameters over all its texts of the round, and copies are
-averaged, a symbol's rows by how often each copy met it.  The number of rounds grows with the logarithm of the tokens.
+text: a round's texts are dealt by hash into parts, each part trains a copy from common parameters over all its texts in an order
+of their hashes, and copies are averaged in a fixed order, a symbol's rows by how often each copy met it.  The number of parts
+follows from the corpus, so scores don't depend on how the table is partitioned.  The number of rounds grows with the logarithm of the tokens.
 Scoring normalises exactly; a word outside the symbols shares its class's probability by
 its count plus one.  Counts cover all training texts; only the model and summaries of its size
 reach the driver.
@@ -31,6 +32,9 @@ CLASSES, CONTEXT, DIM = 63, 4, 24
 #: The least number of symbols; the last ones are the classes and the end.
 SYMBOLS = 256
 NOISE, BATCH = 48, 1024
+PART_TOKENS = 1 << 20
+#: Below so many training tokens every round sees all of them.
+FEW_TOKENS = 1 << 22
 _BLOCK_DDL = "_b int, _h binary, _c binary, _k binary"
 _BLOCK = pa.schema([("_b", pa.int32()), ("_h", pa.binary()), ("_c", pa.binary()), ("_k", pa.binary())])
 
@@ -40,6 +44,11 @@ def symbols_for(tokens: int) -> int:
     return max(SYMBOLS, 1 << (max(1, tokens).bit_length() // 2))
 
 
+def part_tokens(symbols: int) -> int:
+    """Tokens that one copy learns from in a round: a few MB of text, or ten times the size of a copy if that is more."""
+    return max(PART_TOKENS, 10 * symbols * (2 * DIM + 2) * 4 // 6)
+
+
 def rounds_for(tokens: int) -> int:
     return max(3, tokens.bit_length() - 20)
 
@@ -73,13 +82,23 @@ def _blocks_of(h, k, n, blocks):
 
 def _count(blocks: int):
     def run(batches):
+        """Tallies of some 2M words at a time, in blocks."""
+        got, size = [], 0
+
+        def tallied():
+            h, k, n = _tally(np.concatenate([x[0] for x in got]), np.concatenate([x[1] for x in got]), np.ones(size, np.int64))
+            out = _blocks_of(h, k, n, blocks)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _BLOCK)], schema=_BLOCK)
+
         for b in batches:
-            got = [(h, k) for _, _, h, k, _ in _words(b.column(b.schema.get_field_index("_text")))]
-            if got:
-                h, k, n = _tally(np.concatenate([x[0] for x in got]), np.concatenate([x[1] for x in got]), np.ones(sum(len(x[0]) for x in got), np.int64))
-                out = _blocks_of(h, k, n, blocks)
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _BLOCK)], schema=_BLOCK)
+            for _, _, h, k, _ in _words(b.column(b.schema.get_field_index("_text"))):
+                got.append((h, k))
+                size += len(h)
+                if size >= 1 << 21:
+                    yield tallied()
+                    got, size = [], 0
+        if size:
+            yield tallied()
 
     return run
 
@@ -94,7 +113,7 @@ def _add(t: pa.Table) -> pa.Table:
 
 def _summary(blocks: int):
     # Hashes spread evenly, so a block holds its share of the most frequent words; four times that and some more lose none.
-    most = 192 + 4 * symbols_for(blocks * S.SLICE_BYTES) // blocks
+    most = 192 + 4 * symbols_for(blocks * S.FAN_IN * S.SLICE_BYTES) // blocks
 
     def run(batches):
         """The most frequent words of each block, and its sums by class (hash null)."""
@@ -221,11 +240,15 @@ def _descend(parameters: list, sums: list, at: np.ndarray, gradients: list, rate
     order = np.argsort(at, kind="stable")
     a = at[order]
     new = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))
-    a = a[new]
+    a = a[new].astype(np.intp)
     for p, s, g in zip(parameters, sums, gradients):
         d = np.add.reduceat(g[order], new, axis=0)
-        s[a] += d * d
-        p[a] -= rate * d / np.sqrt(s[a])
+        now = s[a] + d * d
+        s[a] = now
+        np.sqrt(now, out=now)
+        d *= rate
+        d /= now
+        p[a] -= d
 
 
 def train(model: Model, context: np.ndarray, symbol: np.ndarray, unigram: np.ndarray, seed: int, rate: float = 0.15, sums: list | None = None) -> Model:
@@ -237,45 +260,59 @@ def train(model: Model, context: np.ndarray, symbol: np.ndarray, unigram: np.nda
         sums += [np.full(x.shape, 1e-2, np.float32) for x in (e, c, r, b, gr, gb)]
     log_noise = np.log(np.maximum(NOISE * unigram, 1e-12)).astype(np.float32)
     law, width = np.cumsum(unigram), len(b) // len(gb)
+    small = np.uint16 if len(b) <= 1 << 16 else np.uint32  # 16 bits are sorted by radix
     order = rng.permutation(len(symbol))
     for a in range(0, len(order), BATCH):
         pick = order[a : a + BATCH]
         x, w = context[pick], symbol[pick]
         noise = np.minimum(np.searchsorted(law, rng.random(NOISE)), len(b) - 1)
+        n = len(pick)
         emb = e[x]  # batch, context, dim
-        q = np.einsum("bid,id->bd", emb, c)
+        parts = emb * c
+        q = parts.sum(1)
         rw, rn = r[w], r[noise]
-        n = len(pick)
-        g = 1 / (1 + np.exp(-((q * rw).sum(1) + b[w] - log_noise[w]))) - 1
-        gn = 1 / (1 + np.exp(-(q @ rn.T + b[noise] - log_noise[noise])))
-        g, gn = (g / n).astype(np.float32), (gn / n).astype(np.float32)
-        gg = q @ gr.T + gb
-        gg = np.exp(gg - gg.max(axis=1, keepdims=True))
-        gg /= gg.sum(axis=1, keepdims=True)
-        gg[np.arange(n), w // width] -= 1
-        gg /= n
-        dq = g[:, None] * rw + gn @ rn + gg @ gr
-        at = np.concatenate((w, noise))
+        g = np.einsum("bd,bd->b", q, rw) + b[w] - log_noise[w]
+        g = (1 / (1 + np.exp(-g)) - 1) / np.float32(n)
+        gn = q @ rn.T
+        gn += b[noise] - log_noise[noise]
+        gn = 1 / (1 + np.exp(-gn))
+        gn /= np.float32(n)
+        gg = q @ gr.T
+        gg += gb
+        gg -= gg.max(axis=1, keepdims=True)
+        np.exp(gg, out=gg)
+        gg /= gg.sum(axis=1, keepdims=True) * np.float32(n)
+        gg[np.arange(n), w // width] -= np.float32(1 / n)
+        dq = gn @ rn
+        dq += gg @ gr
+        dq += g[:, None] * rw
+        at = np.concatenate((w, noise)).astype(small)
         _descend([r, b], sums[2:4], at, [np.concatenate((g[:, None] * q, gn.T @ q)), np.concatenate((g, gn.sum(0)))], rate)
-        _descend([e], sums[:1], x.ravel(), [(dq[:, None, :] * c).reshape(-1, DIM)], rate)
-        for p, d, s in ((c, np.einsum("bd,bid->id", dq, emb), sums[1]), (gr, gg.T @ q, sums[4]), (gb, gg.sum(0), sums[5])):
+        dc = np.einsum("bd,bid->id", dq, emb)
+        np.multiply(dq[:, None, :], c, out=parts)
+        _descend([e], sums[:1], x.ravel().astype(small), [parts.reshape(-1, DIM)], rate)
+        for p, d, s in ((c, dc, sums[1]), (gr, gg.T @ q, sums[4]), (gb, gg.sum(0), sums[5])):
             s += d * d
             p -= rate * d / np.sqrt(s)
     return Model(e, c, r, b, gr, gb)
 
 
-def sequence(h: np.ndarray, k: np.ndarray, first: np.ndarray, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts and symbols of all tokens, an end after each text, and the index of each text's first token."""
+def contexts(sym: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts and symbols of all tokens, with ``end`` put after each text, and the index of each text's first token."""
     n = len(first) - 1
-    sym = np.insert(lexicon.symbols(h, k), first[1:], lexicon.end).astype(np.int32)
+    sym = np.insert(sym, first[1:], end).astype(np.int32)
     begin = first + np.arange(n + 1)
     lead = np.arange(len(sym)) - np.repeat(begin[:-1], np.diff(begin))
-    context = np.full((len(sym), CONTEXT), lexicon.end, np.int32)  # before a text: as after one
+    context = np.full((len(sym), CONTEXT), end, np.int32)  # before a text: as after one
     for i in range(CONTEXT):
-        context[i + 1 :, i] = np.where(lead[i + 1 :] > i, sym[: len(sym) - i - 1], lexicon.end)
+        context[i + 1 :, i] = np.where(lead[i + 1 :] > i, sym[: len(sym) - i - 1], end)
     return context, sym, begin
 
 
+def sequence(h: np.ndarray, k: np.ndarray, first: np.ndarray, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return contexts(lexicon.symbols(h, k), first, lexicon.end)
+
+
 def _pack(m: Model, met: np.ndarray) -> bytes:
     return b"".join(x.astype("<f4").tobytes() for x in (*m.arrays(), met))
 
@@ -289,41 +326,67 @@ def _unpack(data: bytes, size: int) -> tuple[Model, np.ndarray]:
     return Model(*parts), met
 
 
-def _trainer(model: Model, lexicon: Lexicon, seed: int):
+def _encoder(lexicon: Lexicon):
+    """Symbols of each text (not its end), as two or four bytes each."""
+    kind = np.uint16 if lexicon.size <= 1 << 16 else np.uint32
+
+    def run(batches):
+        for b in batches:
+            part, key = (b.column(b.schema.get_field_index(c)) for c in ("_part", "_key"))
+            for i, j, h, k, first in _words(b.column(b.schema.get_field_index("_text"))):
+                raw, width = lexicon.symbols(h, k).astype(kind).tobytes(), kind().itemsize
+                ends = (first * width).tolist()
+                yield pa.RecordBatch.from_arrays([part[i:j], key[i:j], pa.array([raw[a:z] for a, z in zip(ends, ends[1:])], pa.binary())], names=["_part", "_key", "_y"])
+
+    return run, kind
+
+
+def _trainer(model: Model, lexicon: Lexicon, seed: int, kind=np.uint16):
     unigram = lexicon.unigram()
 
     def run(batches):
-        """Trains a copy of ``model`` on the texts of this partition, by some 400,000 tokens at a time."""
-        mine, sums, met, tokens = model, [], np.zeros(lexicon.size, np.int64), 0
+        """Trains a copy of ``model`` on each part (rows come by part), by some 400,000 tokens at a time."""
+        part, mine, sums, met, tokens = None, model, [], None, 0
         pending, size = [], 0
 
         def learn():
-            nonlocal mine, tokens, met
-            x, w = np.concatenate([p[0] for p in pending]), np.concatenate([p[1] for p in pending]).astype(np.int64)
+            nonlocal mine, tokens, met, pending, size
+            y = [np.frombuffer(x, kind).astype(np.int32) for x in pending]
+            x, w, _ = contexts(np.concatenate(y), np.cumsum([0, *map(len, y)]), lexicon.end)
+            w = w.astype(np.int64)
             mine = train(mine, x, w, unigram, seed + tokens + size, sums=sums)
             met += np.bincount(w, minlength=lexicon.size)
             tokens += size
+            pending, size = [], 0
+
+        def result():
+            return pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), pa.array([_pack(mine, met)], pa.binary()), pa.array([part], pa.int32())], names=["n", "m", "g"])
 
         for b in batches:
-            for _, _, h, k, first in _words(b.column(b.schema.get_field_index("_text"))):
-                x, w, _ = sequence(h, k, first, lexicon)
-                pending.append((x, w))
-                size += len(w)
+            for p, y in zip(b.column(b.schema.get_field_index("_part")).to_pylist(), b.column(b.schema.get_field_index("_y"))):
+                if p != part:
+                    if size:
+                        learn()
+                    if tokens:
+                        yield result()
+                    part, mine, sums, met, tokens = p, model, [], np.zeros(lexicon.size, np.int64), 0
+                y = y.as_py()
+                pending.append(y)
+                size += len(y) // kind().itemsize + 1
                 if size >= 400_000:
                     learn()
-                    pending, size = [], 0
         if size:
             learn()
         if tokens:
-            yield pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), pa.array([_pack(mine, met)], pa.binary()), pa.array([0], pa.int32())], names=["n", "m", "g"])
+            yield result()
 
     return run
 
 
 def _averager(size: int):
     def run(t: pa.Table) -> pa.Table:
-        """Mean of copies: by tokens, and a symbol's rows by how often the copy met it."""
-        total, sums, met = 0, None, np.zeros(size)
+        """Mean of copies: by tokens, and a symbol's rows by how often the copy met it.  In order of parts, as sums of floats depend on it."""
+        t, total, sums, met = t.sort_by("g"), 0, None, np.zeros(size)
         for n, data in zip(t["n"].to_pylist(), t["m"]):
             m, seen = _unpack(data.as_py(), size)
             by = seen.astype(np.float64) + n * 1e-9  # a symbol met by no copy: by tokens
@@ -332,18 +395,24 @@ def _averager(size: int):
             total, met = total + n, met + seen
         by = met + total * 1e-9
         mean = Model(*[x / (by[:, None] if x.ndim == 2 else by) if i in (0, 2, 3) else x / total for i, x in enumerate(sums)])
-        return pa.table({"n": pa.array([total], pa.int64()), "m": pa.array([_pack(mean, met)], pa.binary()), "g": pa.array([0], pa.int32())})
+        return pa.table({"n": pa.array([total], pa.int64()), "m": pa.array([_pack(mean, met)], pa.binary()), "g": t["g"].slice(0, 1).cast(pa.int32())})
 
     return run
 
 
-def _round(rows: DataFrame, model: Model, lexicon: Lexicon, seed: int) -> Model:
-    """Trains copies and averages them, in three steps, so one task averages few."""
+def _round(rows: DataFrame, parts: int, model: Model, lexicon: Lexicon, seed: int) -> Model:
+    """Trains a copy on each part of ``rows`` (``_key``, ``_text``) and averages them, at most 16 in a task."""
     ddl = "n bigint, m binary, g int"
-    copies = rows.mapInArrow(_trainer(model, lexicon, seed), ddl)
-    for width in (256, 16, 1):
-        copies = copies.withColumn("g", F.pmod(F.xxhash64("m"), F.lit(width)).cast("int")).groupBy("g").applyInArrow(_averager(lexicon.size), ddl)
-    got = copies.collect()
+    encode, kind = _encoder(lexicon)
+    dealt = rows.select(F.pmod("_key", F.lit(parts)).cast("int").alias("_part"), "_key", "_text")
+    coded = dealt.mapInArrow(encode, "_part int, _key bigint, _y binary")
+    # a part is in one task, which meets its texts in an order of their own
+    copies = coded.repartitionById(parts, F.col("_part")).sortWithinPartitions("_part", "_key", "_y").mapInArrow(_trainer(model, lexicon, seed, kind), ddl)
+    average, width = _averager(lexicon.size), 16
+    while width < 16 * parts:
+        copies = copies.withColumn("_w", F.floor(F.col("g") / width)).groupBy("_w").applyInArrow(average, ddl)
+        width *= 16
+    got = copies.collect()  # one
     return _unpack(got[0]["m"], lexicon.size)[0] if got else model
 
 
@@ -381,6 +450,7 @@ def _scorer(model: Model, lexicon: Lexicon, id_type: pa.DataType):
     schema = pa.schema([("_id", id_type), ("_train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(docs: pa.Table, side: pa.Table) -> pa.Table:
+        docs = docs.sort_by("_k")  # matrix products round by their rows' places
         known = np.concatenate([np.frombuffer(x.as_py(), U) for x in side["_h"]]) if side.num_rows else np.zeros(0, U)
         counts = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in side["_c"]]) if side.num_rows else np.zeros(0, np.int64)
         order = np.argsort(known)
@@ -439,8 +509,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``trained`` (it was learned from), ``n_tokens``, ``n_known`` (tokens seen in training), ``train_tokens``,
     ``base_score`` (unigram log10 probability, add-one) and ``score`` (the model's).
 
-    The model trains in rounds on parts of the training texts, by hash, and on all of them in each round if there are
-    few (4M tokens).
+    The model trains in rounds on shares of the training texts, by hash, and on all of them in each round if there are
+    few (``FEW_TOKENS``).  Scores depend on the rows alone, not on their order or partitions.
     Null or empty text: an end alone.  Null ids pass; repeated rows each count.
     Without training texts the model is uniform.  An empty table gives
     an empty result; other columns are ignored.
@@ -448,16 +518,20 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     train_where = F.lit(True) if train_where is None else F.coalesce(train_where, F.lit(False))
     base = view(docs, id_col, text_col)
     rows = docs.select(docs[id_col].alias("_id"), F.coalesce(docs[text_col], F.lit("")).alias("_text"), train_where.alias("_train"))
-    n = S.plan(base)
+    plan = S.plan(base)
+    n = plan.blocks
     training = rows.where("_train")
     counts, lexicon = learn_counts(training, n)
     model = start(lexicon.unigram())
     if lexicon.ends:
         rounds = rounds_for(lexicon.tokens)
+        few = lexicon.tokens < FEW_TOKENS
+        parts = max(4, -(-lexicon.tokens // (1 if few else rounds) // part_tokens(lexicon.size)))
+        keyed = training.select(F.xxhash64("_id", "_text", F.lit("training")).alias("_key"), "_text")
         for k in range(rounds):
-            part = training if lexicon.tokens < 1 << 22 else training.where(F.pmod(F.xxhash64("_id", "_text"), F.lit(rounds)) == k)
-            model = _round(part.select("_text"), model, lexicon, k + 1)
-    dealt = S.deal(rows, n)
+            mine = keyed if few else keyed.where(F.pmod(F.xxhash64("_key"), F.lit(rounds)) == k)
+            model = _round(mine, parts, model, lexicon, k + 1)
+    dealt = S.deal(rows, plan).withColumn("_k", F.xxhash64("_id", "_text"))
     ask, ddl = _ask(n)
     asked = dealt.groupBy("_s").applyInArrow(ask, ddl)
     answers = asked.groupBy("_b").cogroup(counts.groupBy("_b")).applyInArrow(_answer, "_s int, _h binary, _c binary")

@@ -1,14 +1,13 @@
 """Substring dedup with a count-min prefilter.
 
 Every run of ``width`` consecutive words is a window.  Each slice of documents
-builds a sparse count-min sketch of its windows (``depth`` rows; a row is 2**24
-cells for each block, so its width grows with the corpus and its load stays
-the same); the sketches are merged by adding the counters of each cell range.
+builds a sparse count-min sketch of its windows (``depth`` rows; a row is 2**26
+cells for each block, so its width grows with the corpus); the sketches are merged by adding the counters of each cell range.
 Counters never underestimate, so a window whose counter is below two in any
 row occurs once.  A second pass groups only the remaining windows, by 96 bits of
 hash, and tells each slice which of its windows truly repeat.  A third pass
 merges the covered positions and rebuilds the texts.  The text is shuffled once
-(the three passes reuse that exchange); what moves besides is about two bytes a
+(the three passes reuse that exchange); what moves besides is two to three bytes a
 window and sketch row, and 12 bytes for each window that may repeat and 8 for each that does.
 """
 
@@ -25,7 +24,7 @@ from siltstone.llm import slices as S
 from siltstone.llm.common import arrow_type, view
 from siltstone.llm.kernels import U, chunks, flatten, mix, segments_to_rows, span_hashes, window_hashes, words
 
-_BITS = 24
+_BITS = 26
 _MESSAGE = pa.schema([("_s", pa.int32()), ("_d", pa.int32()), ("_b", pa.int32()), ("_h", pa.binary())])
 _MESSAGE_DDL = "_s int, _d int, _b int, _h binary"
 #: 96 bits tell windows apart.
@@ -67,15 +66,10 @@ def _merge_cells(t: pa.Table) -> pa.Table:
     """Adds the partition sketches over one cell range; answers each slice with its cells of two or more."""
     s, d, b = t["_s"].to_pylist(), t["_d"][0].as_py(), t["_b"][0].as_py()
     low = [S.unpack(x.as_py(), _BITS) for x in t["_h"]]
-    count = np.zeros(1 << _BITS, np.uint8)
-    for x in low:
-        once = x[np.concatenate(([True], x[1:] != x[:-1]))]
-        twice = x[1:][x[1:] == x[:-1]]
-        count[once.astype(np.int64)] = np.minimum(count[once.astype(np.int64)] + 1, 2)
-        count[twice.astype(np.int64)] = 2
+    full, _ = S.recurring(low)
     out = []
     for k, x in zip(s, low):
-        hot = S.at_most(x[count[x.astype(np.int64)] >= 2], 1)
+        hot = S.at_most(x[S.member(x, full)], 1)
         if len(hot):
             out.append((k, d, b, S.pack(hot, _BITS)))
     return S.table_of(_MESSAGE, list(zip(*out)) if out else [[]] * 4)
@@ -188,8 +182,8 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     of the table are ignored.
     """
     rows = view(docs, id_col, text_col)
-    n = S.plan(rows)
-    dealt = S.deal(rows, n)
+    plan = S.plan(rows)
+    dealt, n = S.deal(rows, plan), plan.blocks
     id_type = arrow_type(dealt, "_id")
     sketches = dealt.groupBy("_s").applyInArrow(_sketch(width, depth, n), _MESSAGE_DDL)
     hot = sketches.groupBy("_d", "_b").applyInArrow(_merge_cells, _MESSAGE_DDL)

@@ -133,9 +133,11 @@ def test_lm_vocabulary_grows_with_the_corpus(spark):
         texts.append(" ".join(f"w{(k + i) % 400}x" for i in range(200)))
     counts, lexicon = lm.learn_counts(table(spark, list(enumerate(texts))).select(F.col("text").alias("_text")), 16)
     assert lexicon.size == 512 and len(lexicon.top) == 400 and not lexicon.class_tokens.any() and lexicon.tokens == 1500 * 201
-    rows = pa.record_batch({"_text": pa.array(texts)})
-    got = [b.to_pydict() for b in lm._trainer(lm.start(lexicon.unigram()), lexicon, 1)(iter([rows]))]
-    mean = lm._averager(lexicon.size)(pa.table({"n": [g["n"][0] for g in got] * 2, "m": pa.array([g["m"][0] for g in got] * 2, pa.binary())}))
+    rows = pa.record_batch({"_part": pa.array([0] * 700 + [1] * 800), "_key": pa.array(range(1500)), "_text": pa.array(texts)})
+    encode, kind = lm._encoder(lexicon)
+    got = [b.to_pydict() for b in lm._trainer(lm.start(lexicon.unigram()), lexicon, 1, kind)(encode(iter([rows])))]
+    assert [g["g"] for g in got] == [[0], [1]] and sum(g["n"][0] for g in got) == lexicon.tokens
+    mean = lm._averager(lexicon.size)(pa.table({"n": [g["n"][0] for g in got] * 2, "m": pa.array([g["m"][0] for g in got] * 2, pa.binary()), "g": [0, 1, 2, 3]}))
     model, met = lm._unpack(mean["m"][0].as_py(), lexicon.size)
     _, _, h, k, first = next(lm._words(pa.array(texts[:50])))
     x, w, _ = lm.sequence(h, k, first, lexicon)
@@ -144,6 +146,23 @@ def test_lm_vocabulary_grows_with_the_corpus(spark):
     assert model.log_prob(x, w).mean() > np.log(lexicon.unigram()[w]).mean() + 1
 
 
+def test_lm_scores_do_not_depend_on_the_layout(spark, monkeypatch):
+    """The same rows in 1, 5 and 16 partitions and other orders give the same scores, and held-out texts gain by the model."""
+    from siltstone.llm import lm
+
+    monkeypatch.setattr(lm, "PART_TOKENS", 5000)
+    monkeypatch.setattr(lm, "FEW_TOKENS", 1000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    found = []
+    for n in (1, 5, 16):
+        rows = docs.repartition(n, F.rand(n))
+        got = lm.score_texts(rows, train_where=crc_remainder(rows["doc_id"], 7) != 2)
+        found.append(sorted((r["doc_id"], r["trained"], r["score"], r["base_score"]) for r in got.collect()))
+    assert found[0] == found[1] == found[2]
+    held = [(s, b) for _, t, s, b in found[0] if not t]
+    assert sum(s for s, _ in held) > sum(b for _, b in held)
+
+
 # packing
 
 
@@ -316,6 +335,101 @@ def test_crowded_candidates_are_dealt_into_chunks(spark, monkeypatch):
     base = [f"c{k}" for k in range(60)]
     rows = [(k, " ".join([*base[: k % 3], f"x{k}", *base[k % 3 :]])) for k in range(60)]
     assert {x["class_id"] for x in minhash.near_duplicates(table(spark, rows)).collect()} == {0}
+    # far members in chunks of their own: the same classes as in one chunk
+    r = random.Random(5)
+    family = []
+    for k in range(80):
+        w = [f"d{j}" for j in range(40)]
+        for _ in range(k % 4):
+            w[r.randrange(40)] = f"e{r.random()}"
+        family.append((k, " ".join(w)))
+    got = minhash.near_duplicates(table(spark, family)).collect()
+    assert sorted((repr(x["doc_id"]), repr(x["class_id"])) for x in got) == brute_classes(family)
+
+
+def test_verification_does_not_chain(spark):
+    """Texts that share a third with the next one are candidates by chance only, and never in one group."""
+    from siltstone.llm import minhash
+
+    rows = [(k, " ".join(f"w{j}" for j in range(50 * k, 50 * k + 100))) for k in range(200)]
+    got = minhash.near_duplicates(table(spark, rows)).collect()
+    assert all(x["class_id"] == x["doc_id"] for x in got)
+    # a template in which every text has as much of its own: no text can be linked, so none is compared
+    sets = []
+    for k in range(300):
+        h = np.sort(np.concatenate((np.arange(100), 1000 * (k + 1) + np.arange(100))).astype(np.uint64))
+        sets.append((h, np.ones(len(h))))
+    assert minhash.linked(sets, np.ones(300, bool), 0.8) == []
+
+
+def test_one_of_each(spark):
+    from siltstone.llm.minhash import near_duplicates, one_of_each
+
+    rows = odd_rows() + [(None, "same"), (None, "only null ids here"), (None, "only null ids here"), (13, "same id, other text")]
+    docs = table(spark, rows)
+    got = one_of_each(docs)
+    classes = collections.defaultdict(list)
+    for r in near_duplicates(docs).collect():
+        classes[r["class_id"]].append(r["doc_id"])
+    assert got.columns == docs.columns
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert sorted(i for i, _ in kept if i is not None) == sorted([*(c for c in classes if c is not None), 13])  # 13 leads two classes
+    assert [t for i, t in kept if i is None and t.startswith("only")] == ["only null ids here"]
+    assert not one_of_each(table(spark, [])).collect()
+
+
+def test_slices_grow_in_proportion():
+    """Messages and their bytes follow the input; headers stay small."""
+    from siltstone.llm import slices as S
+
+    each_window = []
+    for total in (10**9, 4 * 10**9, 16 * 10**9, 64 * 10**9, 10**12, 4 * 10**12, 10**14, 4 * 10**14):
+        n, blocks, each = S.sizes(total)
+        assert n * each >= total and n * blocks <= total / 90
+        z = int(total / 6 / n / blocks)  # words of six bytes in a message
+        data = S.pack(np.sort(np.random.default_rng(1).integers(0, 1 << 26, z).astype(np.uint64)), 26)
+        each_window.append((48 + len(data)) / z)
+    assert max(each_window) <= 6 and max(each_window[3:]) <= 1.6 * min(each_window[3:])
+    for k in (1, 5, 300, 700, 20_000, 70_000, 300_000):
+        for bits in (26, 40):
+            x = np.sort(np.random.default_rng(k).integers(0, 1 << bits, k).astype(np.uint64))
+            data = S.pack(x, bits)
+            assert (S.unpack(data, bits) == x).all()
+            assert len(data) <= 1.1 * k * -(-bits // 8) + 8
+    assert len(S.unpack(S.pack(np.zeros(0, np.uint64), 26), 26)) == 0
+
+
+def test_repeated_rows_are_dealt(spark, monkeypatch):
+    """Rows that repeat id and text fill several slices, and results stay those of documents of their own."""
+    from siltstone.llm import slices as S
+    from siltstone.llm.minhash import near_duplicates
+    from siltstone.llm.packing import pack_documents
+    from siltstone.llm.substring_dedup import remove_repeated_windows
+
+    monkeypatch.setattr(S, "SLICE_BYTES", 600)
+    monkeypatch.setattr(S, "MESSAGE_BYTES", 0)
+    rows = odd_rows() + [(None, "a row that repeats " * 10)] * 40
+    docs = table(spark, rows)
+    base = docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"))
+    plan = S.plan(base)
+    assert plan.more > 5
+    dealt = S.deal(base, plan)
+    assert dealt.count() == len(rows) and dealt.where(F.col("_text").startswith("a row that")).select("_s").distinct().count() > 5
+    assert sorted((repr(x["doc_id"]), repr(x["class_id"])) for x in near_duplicates(docs).collect()) == brute_classes(rows)
+    got = remove_repeated_windows(docs).where("kept = '' and n_words = 40").count()
+    assert got == 40
+    import public_tokenizers
+
+    check_packing(spark, rows, pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")).collect())
+
+
+def test_spread_join(spark):
+    from siltstone.llm.common import spread_join
+
+    many = spark.range(20_000).select(F.when(F.col("id") < 9000, 7).otherwise(F.col("id")).alias("k"), "id")
+    few = many.groupBy("k").agg(F.count("*").alias("n")).where("k % 3 = 1")
+    got = spread_join(many, few, ["k"], "n", 20_000)
+    assert got.columns == ["k", "id", "n"] and got.exceptAll(many.join(few, "k").select("k", "id", "n")).count() == 0 and got.count() == many.where("k % 3 = 1").count()
 
 
 def test_weighted_samples_follow_similarity():
