@@ -76,7 +76,9 @@ def spread_join(many: DataFrame, few: DataFrame, keys: list[str], count: str, to
     """
     limit, values = total // HEAVY, [c for c in few.columns if c not in keys]
     heavy = few.where(F.col(count) > limit).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.struct(*values).alias("_heavy"))
-    others = few.where(F.col(count) <= limit).select(*keys, F.lit(0).alias("_salt"), F.struct(*values).alias("_other"))
+    # zero, in a form that the optimizer doesn't fold: a literal would turn the salt into a filter and leave the keys alone to the shuffle
+    none = F.least(F.lit(0), F.col(count)).cast("int")
+    others = few.where(F.col(count) <= limit).select(*keys, none.alias("_salt"), F.struct(*values).alias("_other"))
     on = None
     for i, k in enumerate(keys):
         one = F.col(k) == F.col(f"_k{i}")

@@ -429,6 +429,11 @@ def test_spread_join(spark):
     many = spark.range(20_000).select(F.when(F.col("id") < 9000, 7).otherwise(F.col("id")).alias("k"), "id")
     few = many.groupBy("k").agg(F.count("*").alias("n")).where("k % 3 = 1")
     got = spread_join(many, few, ["k"], "n", 20_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:  # rows meet by key and salt
+        assert "_salt" in next(x for x in got._jdf.queryExecution().executedPlan().toString().split("\n") if "SortMergeJoin" in x)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got.columns == ["k", "id", "n"] and got.exceptAll(many.join(few, "k").select("k", "id", "n")).count() == 0 and got.count() == many.where("k % 3 = 1").count()
 
 
