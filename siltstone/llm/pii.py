@@ -7,9 +7,12 @@ rounds of collision checks redraw where two entities share a surrogate or a surr
 an entity that occurs.  After ``WIDEN`` draws a shape counts as too small for its entities and
 grows by a character (a phone number to ten digits, an IPv4 address to an IPv6 one) with each further draw; a value of neither letters nor
 digits is drawn from both.  So different entities stay different and equal ones equal,
-in all documents and formats.  Given names are permuted within gender and script; surnames
+in all documents and formats.  Listed given names are permuted within gender and script; other names
 are composed in their script.
 
+Names are found by lists, titles and cues ("my name is"); what a document has so shown to be
+a name is replaced wherever it stands in that document, so no later mention keeps the real name.
+
 Texts without entities pass through; only the others are shuffled, to meet their replacements.
 """
 
@@ -17,18 +20,19 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import cut, extended, importable
+from siltstone.llm.common import cut, extended, importable, spread_join
 
 # Given names by script and gender.
 GIVEN = {
-    ("latin", "f"): "Anna Maria Emma Julia Laura Sophie Clara Elena Lucia Carmen Isabel Claire Camille Charlotte Emily Sarah Jessica Linda Patricia Susan".split(),
-    ("latin", "m"): "James John Robert Michael David Thomas Peter Paul Hans Stefan Klaus Pierre Louis Antoine Carlos Miguel Javier Pablo Daniel George".split(),
+    ("latin", "f"): "Anna Maria Emma Julia Laura Sophie Clara Elena Lucia Carmen Isabel Claire Camille Charlotte Emily Sarah Jessica Linda Patricia Susan Fatima Aisha Mariam Leila Yuki Sakura Mei Priya Ananya Ingrid Astrid Katarzyna Agnieszka Zuzanna Giulia Chiara Francesca Amara Zanele Nadia".split(),
+    ("latin", "m"): "James John Robert Michael David Thomas Peter Paul Hans Stefan Klaus Pierre Louis Antoine Carlos Miguel Javier Pablo Daniel George Mohammed Ahmed Omar Yusuf Hiroshi Kenji Wei Arjun Rahul Lars Sven Piotr Tomasz Jakub Giovanni Marco Alessandro Kwame Tunde Ivan".split(),
     ("cyrillic", "f"): "Анна Мария Елена Ольга Наталья Ирина Татьяна Светлана Екатерина Юлия".split(),
     ("cyrillic", "m"): "Иван Сергей Алексей Дмитрий Николай Михаил Андрей Владимир Павел Олег".split(),
     ("greek", "f"): "Μαρία Ελένη Κατερίνα Σοφία Αναστασία Ιωάννα Δήμητρα Βασιλική Ειρήνη Χριστίνα".split(),
@@ -43,7 +47,11 @@ SYLLABLES = {
 ENDINGS = {"latin": ("", "er", "son"), "cyrillic": ("ов", "ин", "енко"), "greek": ("ίδης", "όπουλος", "άκης")}
 #: Draws in an entity's own shape, before the shape grows.
 WIDEN = 8
-TITLES = r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora)\.?"
+# Endings of composed given names, by script and gender (u: unknown).
+GIVEN_ENDINGS = {"latin": {"f": "a", "m": "o", "u": "i"}, "cyrillic": {"f": "а", "m": "ий", "u": "о"}, "greek": {"f": "α", "m": "ος", "u": "ι"}}
+# Titles by gender, and what is said before a name.
+TITLES = {"m": "Mr Herr Monsieur Señor Sr Господин Κύριος".split(), "f": "Mrs Ms Frau Madame Señora Sra Госпожа Κυρία".split(), "u": "Dr Prof".split()}
+CUES = ["[Mm]y name is", "[Nn]ame:", "Dear", "[Ss]igned by", "[Rr]egards,", "[Ss]incerely,", "[Pp]atient:?", "[Cc]ontact person:?", "[Ii]ch heiße", "[Mm]e llamo", "[Jj]e m'appelle", "[Мм]еня зовут", "[Μμ]ε λένε"]
 
 _GENDER = {n: (script, gender) for (script, gender), names in GIVEN.items() for n in names}
 _CAPITAL = r"[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫЀ-Я][^\W\d_]+(?:-[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫЀ-Я][^\W\d_]+)?"
@@ -59,11 +67,16 @@ _NUMBERS = [
     ("ip", re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)")),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
     ("card", re.compile(r"(?<![\d-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\d-])")),
-    ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3}[ .-]\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4}|(?<=[\d ])\d{2,4}(?:[ .-]\d{2,4}){2,4})(?!\w)")),
+    # groups of digits alone are no number to call: it takes +, brackets, a leading zero or the form 3-3-4
+    ("phone", re.compile(r"(?<![\w+])(?!\d\d?[./-]\d\d?[./-]\d{4}(?!\d))(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{2,4}\)[ .-]?\d{3}[ .-]\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4}|0\d{1,4}(?:[ .-]\d{2,4}){2,4})(?!\w)")),
 ]
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])")
 # both start with a choice of words, by whose first letters the search skips quickly
 _NAMED = re.compile(r"(" + "|".join(sorted(_GENDER, key=len, reverse=True)) + r") (" + _CAPITAL + r")(?!\w)")
-_TITLED = re.compile(TITLES + r" (" + _CAPITAL + r")(?!\w)")
+_TITLE_GENDER = {t: g for g, titles in TITLES.items() for t in titles}
+_TITLED = re.compile(r"(" + "|".join(sorted(_TITLE_GENDER, key=len, reverse=True)) + r")\.? (" + _CAPITAL + r")(?: (" + _CAPITAL + r"))?(?!\w)")
+_CUED = re.compile(r"(?:" + "|".join(CUES) + r")\s+(" + _CAPITAL + r")(?: (" + _CAPITAL + r"))?(?!\w)")
 _DIGIT = re.compile(r"\d")
 
 
@@ -80,9 +93,25 @@ def canonical(kind: str, mention: str) -> str:
     if kind == "phone":
         digits = "".join(_DIGIT.findall(mention))
         return digits[-10:] if len(digits) > 10 else digits  # a country code is not part of it
+    if kind == "iban":
+        return mention.replace(" ", "")
+    if kind == "ip6":
+        return ipaddress.ip_address(mention).compressed
     return mention
 
 
+def iban_check(country: str, rest: str) -> str:
+    """The two check digits (ISO 7064, 97-10)."""
+    return f"{98 - int(''.join(str(int(c, 36)) for c in rest + country + '00')) % 97:02d}"
+
+
+def _is_ipv6(text: str) -> bool:
+    try:
+        return ipaddress.ip_address(text).version == 6 and any(c.isalnum() for c in text) and text.count(":") > 2
+    except ValueError:
+        return False
+
+
 def _words_from(pattern: re.Pattern, text: str):
     """Matches that don't start within a word."""
     m = pattern.search(text)
@@ -120,14 +149,35 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             for m in pattern.finditer(text, stretch.start(), min(len(text), stretch.end() + 1)):
                 if kind != "phone" or 8 <= len(_DIGIT.findall(m[0])) <= 15:
                     add(kind, *m.span())
+    for m in _IBAN.finditer(text):
+        value = canonical("iban", m[0])
+        if iban_check(value[:2], value[4:]) == value[2:4]:
+            add("iban", *m.span())
+    if "::" in text or text.count(":") > 3:
+        for m in _IPV6.finditer(text):
+            if _is_ipv6(m[0]):
+                add("ip6", *m.span())
+    names: dict[str, str] = {}  # of this document
+
+    def person(first: str, last: str | None, gender: str) -> None:
+        """Kinds of a person's names; one name alone is a surname after a title, and else a given name."""
+        script = script_of(first)
+        listed = f"given:{script}:{_GENDER[first][1]}" if first in _GENDER else None
+        if last is not None and script_of(last) == script:
+            names.setdefault(last, f"surname:{script}")
+            names.setdefault(first, listed or f"name:{script}:{gender}")
+        else:
+            names.setdefault(first, listed or (f"name:{script}:u" if gender == "cue" else f"surname:{script}"))
+
     for m in _words_from(_NAMED, text):
-        script, gender = _GENDER[m[1]]
-        found.append((*m.span(1), f"given:{script}:{gender}", m[1]))
-        if script_of(m[2]) == script:
-            found.append((*m.span(2), f"surname:{script}", m[2]))
+        person(m[1], m[2], "u")
     for m in _words_from(_TITLED, text):
-        if m[1] not in _GENDER:
-            found.append((*m.span(1), f"surname:{script_of(m[1])}", m[1]))
+        person(m[2], m[3], _TITLE_GENDER[m[1]])
+    for m in _words_from(_CUED, text):
+        person(m[1], m[2], "u" if m[2] else "cue")
+    if names:
+        every = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + r")(?!\w)")
+        found += [(*m.span(), names[m[0]], m[0]) for m in every.finditer(text)]
     found.sort(key=lambda x: (x[0], -x[1]))
     out, end = [], 0
     for x in found:
@@ -155,8 +205,9 @@ class Draw:
 
 
 def _shaped(text: str, draw: Draw, more: int = 0) -> str:
-    """Each letter, digit or hex run replaced within its kind, and ``more`` characters added; all are drawn where there is none of these."""
-    hexed = re.fullmatch(r"[0-9a-f]+", text) is not None
+    """Each letter, digit or hex run replaced within its kind, and ``more`` characters added (digits to digits); all are drawn where there is none of these."""
+    hexed = re.fullmatch(r"[0-9a-f]*[a-f][0-9a-f]*", text) is not None
+    digits = re.fullmatch(r"\d+", text) is not None
     empty = not any(c.isdigit() or c.isalpha() for c in text)
     out = []
     for c in text:
@@ -170,7 +221,7 @@ def _shaped(text: str, draw: Draw, more: int = 0) -> str:
             out.append(draw.of("ABCDEFGHIJKLMNOPQRSTUVWXYZ" if c.isupper() else "abcdefghijklmnopqrstuvwxyz"))
         else:
             out.append(c)
-    out += [draw.of("0123456789abcdef" if hexed else "abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(more)]
+    out += [draw.of("0123456789" if digits else "0123456789abcdef" if hexed else "abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(more)]
     return "".join(out)
 
 
@@ -207,6 +258,15 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
         n = max(len(entity), min(len(entity) + more, 10))
         out = draw.of("23456789") + "".join(draw.of("0123456789") for _ in range(n - 1))
         return out[:3] + "555" + out[6:] if not more and len(entity) == 10 and entity[3:6] == "555" else out
+    if kind == "ip6":
+        return ipaddress.ip_address("2001:db8:" + ":".join(f"{draw.below(65535) + 1:x}" for _ in range(6))).compressed
+    if kind == "iban":
+        rest = "".join(draw.of("0123456789" if c.isdigit() else "ABCDEFGHIJKLMNOPQRSTUVWXYZ") for c in entity[4:])
+        return entity[:2] + iban_check(entity[:2], rest) + rest
+    if kind.startswith("name:"):
+        _, script, gender = kind.split(":")
+        part = lambda: SYLLABLES[script][draw.below(len(SYLLABLES[script]))]
+        return ("".join(part() for _ in range(2 + attempt // 4)) + GIVEN_ENDINGS[script][gender]).capitalize()
     if kind == "key":
         return entity[:4] + "".join(draw.of("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in entity[4:])
     if kind.startswith("given:"):
@@ -233,6 +293,9 @@ def render(kind: str, mention: str, chosen: str) -> str:
                 out += reversed(rest)
                 rest = []
         return "".join(reversed(out))
+    if kind == "iban":
+        rest = iter(chosen)
+        return "".join(c if c == " " else next(rest) for c in mention)
     if kind == "email" and mention.isupper():
         return chosen.upper()
     return chosen
@@ -266,8 +329,11 @@ def choose_surrogates(entities: DataFrame, key: bytes, max_rounds: int = 40) ->
 
     ddl = "kind string, entity string, attempt int, surrogate string"
     drawn = cut(entities.select("kind", "entity", F.lit(0).alias("attempt")).mapInArrow(draw, ddl))
-    for _ in range(max_rounds):
-        first = drawn.groupBy("kind", "surrogate").agg(F.min(F.struct(-F.col("attempt"), "entity")).alias("_f"), F.count("*").alias("_n")).where("_n > 1")
+    for k in range(max_rounds):
+        # of two, the one drawn more often stays, which keeps most in their shape; in later rounds the one that was placed
+        # before stays, so those that still move are redrawn in each round and soon reach a wider shape
+        turn = -F.col("attempt") if k < 2 * WIDEN else F.col("attempt")
+        first = drawn.groupBy("kind", "surrogate").agg(F.min(F.struct(turn.alias("turn"), "entity")).alias("_f"), F.count("*").alias("_n")).where("_n > 1")
         twice = drawn.join(first, ["kind", "surrogate"]).where(F.col("entity") != F.col("_f.entity")).select("kind", "entity")
         real = drawn.join(entities.select("kind", F.col("entity").alias("surrogate")), ["kind", "surrogate"]).select("kind", "entity")
         again = cut(twice.unionByName(real).where(~F.col("kind").startswith("given:")).distinct())
@@ -292,9 +358,11 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
         return df.mapInArrow(_finder, extended(df, f"_m {_FOUND}"))
 
     mentions = cut(found(rows.select("_id", "_text", "_h")).select("_id", "_h", F.explode("_m").alias("_x")).select("_id", "_h", "_x.*"))
-    chosen = choose_surrogates(cut(mentions.select("kind", "entity").distinct()), key)
+    entities = cut(mentions.groupBy("kind", "entity").agg(F.count("*").alias("_n")))
+    chosen = choose_surrogates(entities.select("kind", "entity"), key).join(entities, ["kind", "entity"])
+    named = spread_join(mentions, chosen, ["kind", "entity"], "_n", entities.agg(F.sum("_n")).first()[0] or 0)
     # a document's mentions are bounded by its own length
-    todo = mentions.join(chosen, ["kind", "entity"]).groupBy("_id", "_h").agg(F.collect_set(F.struct("a", "b", "kind", "surrogate")).alias("_todo")).withColumnsRenamed({"_id": "_tid", "_h": "_th"})
+    todo = named.groupBy("_id", "_h").agg(F.collect_set(F.struct("a", "b", "kind", "surrogate")).alias("_todo")).withColumnsRenamed({"_id": "_tid", "_h": "_th"})
 
     def rewrite(batches):
         for b in batches:

@@ -594,6 +594,50 @@ def test_replacement_in_documents(spark):
     assert one == collect(pii.replace_entities(table(spark, rows[:1]), b"key"))[0]["text"].split()[1]
 
 
+def test_names_stay_together_in_a_document():
+    found = lambda t: [(t[a:b], k) for a, b, k, _ in pii.detect(t)]
+    text = "Anna Schmidt called. Later Anna left; Schmidt stayed. Wei Zhang, Fatima Al-Sayed, Mohammed Khan."
+    assert [w for w, _ in found(text)] == ["Anna", "Schmidt", "Anna", "Schmidt", "Wei", "Zhang", "Fatima", "Al-Sayed", "Mohammed", "Khan"]
+    assert found("Mr. Bob Smith met Bob and Mrs Smith; Smithson did not") == [("Bob", "name:latin:m"), ("Smith", "surname:latin"), ("Bob", "name:latin:m"), ("Smith", "surname:latin")]
+    assert [w for w, _ in found("My name is Xaver Quendt. Xaver here, Quendt too.")] == ["Xaver", "Quendt", "Xaver", "Quendt"]
+    assert found("Anna and Schmidt, nobody in full") == []
+    made = pii.surrogate(b"k", "name:latin:f", "Roswitha")
+    assert made.istitle() and made.endswith("a") and made != "Roswitha"
+
+
+def test_formats_of_numbers():
+    kinds = lambda t: [k for _, _, k, _ in pii.detect(t)]
+    assert kinds("chapters 1987 04 12 33 and 12 13 14 15 on 01.02.2024 or 01-02-2024") == []
+    assert kinds("+49 30 1234567 or 0171 234 5678 or (212) 555-0100") == ["phone"] * 3
+    text = "IBAN DE89 3704 0044 0532 0130 00 and 2001:db8::8a2e:370:7334, not DE00 3704 0044 0532 0130 00 or 12:30:45"
+    (a, b, k, e), (c, d, six, f) = [x for x in pii.detect(text) if x[2] in ("iban", "ip6")]
+    assert text[a:b] == "DE89 3704 0044 0532 0130 00" and k == "iban" and text[c:d] == "2001:db8::8a2e:370:7334"
+    new = pii.render("iban", text[a:b], pii.surrogate(b"k", "iban", e))
+    assert re.fullmatch(r"DE\d\d( \d{4}){4} \d\d", new) and new != text[a:b] and pii.iban_check("DE", new.replace(" ", "")[4:]) == new[2:4]
+    assert pii._is_ipv6(pii.surrogate(b"k", "ip6", f))
+    assert re.fullmatch(r"\d{8}", pii.surrogate(b"k", "secret", "12345678"))
+
+
+def test_replacements_against_brute_force(spark):
+    """Every mention becomes its entity's surrogate in its own format; nothing else changes, and different entities stay different."""
+    rows = odd_rows() + [(300 + k, f"{chr(97 + k // 26)}{chr(97 + k % 26)}@h.com and Frau Schmidt{'er' * (k % 3)} or 10.0.0.{k % 200}") for k in range(676)]
+    rows += [(2000, "Anna Weber wrote. Weber paid with 4041 8949 7460 8795; Anna's token=abcdef123456")]
+    docs = table(spark, rows)
+    entities = spark.createDataFrame(sorted({(k, e) for _, t in rows for _, _, k, e in pii.detect(t or "")}), "kind string, entity string")
+    chosen = {(r["kind"], r["entity"]): r["surrogate"] for r in pii.choose_surrogates(entities, b"key").collect()}
+    assert len({(k, s) for (k, _), s in chosen.items()}) == len(chosen) and not {(k, s) for (k, _), s in chosen.items() if not k.startswith("given")} & set(chosen)
+    want = []
+    for i, t in rows:
+        found, text = pii.detect(t or ""), t
+        for a, b, k, e in reversed(found):
+            text = text[:a] + pii.render(k, text[a:b], chosen[k, e]) + text[b:]
+        want.append((repr(i), text, len(found)))
+    got = pii.replace_entities(docs.withColumn("n_entities", F.lit("clash")), b"key")
+    assert sorted((repr(r["doc_id"]), r["text"] or "", r["n_entities"]) for r in got.collect()) == sorted((i, t or "", n) for i, t, n in want)
+    text = got.where("doc_id = 2000").first()["text"]
+    assert "Anna" not in text and "Weber" not in text
+
+
 # substring dedup
 
 
