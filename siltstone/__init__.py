@@ -1,7 +1,7 @@
 """Versioned columnar tables on PySpark."""
 
 from siltstone.errors import CommitConflict, TableNotFound, UnsupportedType
-from siltstone.namespace import DirectoryNamespace, connect
+from siltstone.namespace import DirectoryNamespace, connect, register_namespace
 from siltstone.operators.compact import CompactionMetrics, compact_files
 from siltstone.operators.evolve import BatchUDF, add_columns
 from siltstone.operators.fragments import FragmentCommitter, FragmentWriter
@@ -29,5 +29,6 @@ __all__ = [
     "create_scalar_index",
     "open_table",
     "read_table",
+    "register_namespace",
     "write_table",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -59,13 +60,25 @@ class DirectoryNamespace:
         return sorted(os.path.relpath(d, root).split(os.sep) for d, dirs, files in os.walk(root) if "_versions" in dirs or ".location" in files or ".table" in files)
 
 
-def connect(kind: str, properties: dict[str, str]) -> DirectoryNamespace:
-    if kind != "dir":
-        raise ValueError(f"only 'dir' namespaces are built in, not {kind!r}")
+def _directory(properties: dict[str, str]) -> DirectoryNamespace:
     options = {k.removeprefix("storage."): v for k, v in properties.items() if k.startswith("storage.")}
     return DirectoryNamespace(properties["root"], options)
 
 
+_KINDS: dict[str, Callable[[dict[str, str]], Namespace]] = {"dir": _directory}
+
+
+def register_namespace(kind: str, factory: Callable[[dict[str, str]], Namespace]) -> None:
+    """Lets ``connect`` make namespaces of another kind, such as one's own catalog."""
+    _KINDS[kind] = factory
+
+
+def connect(kind: str, properties: dict[str, str]) -> Namespace:
+    if kind not in _KINDS:
+        raise ValueError(f"no namespace of kind {kind!r}; register_namespace adds to {sorted(_KINDS)}")
+    return _KINDS[kind](properties)
+
+
 def check_target(uri: str | None, namespace: Namespace | None, table_id: list[str] | None) -> None:
     if uri is not None and (namespace is not None or table_id is not None):
         raise ValueError("give either 'uri' or 'namespace' with 'table_id', not both")

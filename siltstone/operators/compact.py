@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, replace
 from typing import Any
 
@@ -15,6 +16,9 @@ from siltstone.sources.scan import located
 from siltstone.table import Table, open_table
 
 
+log = logging.getLogger("siltstone")
+
+
 @dataclass(frozen=True)
 class CompactionMetrics:
     fragments_removed: int
@@ -38,7 +42,8 @@ def compact_files(dataset: Table | str, compaction_options: CompactionOptions |
     old = [f for b in bins for f in b]
     which = spark.createDataFrame([(f.id, k) for k, b in enumerate(bins) for f in b], "_fragment bigint, _bin int")
     rows = located(spark, store, base, old).join(F.broadcast(which), "_fragment")  # one row a fragment
-    files = rewrite(rows, store, base.schema, "_bin", options.target_rows_per_fragment)
+    files = rewrite(rows, store, base.schema, "_bin", range(len(bins)), options.target_rows_per_fragment)
+    log.info("compaction: %d fragments in %d bins", len(old), len(bins))
     gone, added = {f.id for f in old}, [f for k in range(len(bins)) for f in files.get(k, [])]
 
     def change(now: Snapshot) -> Snapshot:

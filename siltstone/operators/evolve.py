@@ -28,17 +28,16 @@ class BatchUDF:
     output_schema: pa.Schema | T.StructType | None = None
 
 
-def rewrite(rows: DataFrame, store: Store, schema: T.StructType, key: str, max_rows: int = 0) -> dict[int, list[Fragment]]:
-    """Writes rows (with ``key`` and an order: ``_fragment``, ``_row``) so that each key has files of its own.
+def rewrite(rows: DataFrame, store: Store, schema: T.StructType, key: str, keys: Iterable[int], max_rows: int = 0) -> dict[int, list[Fragment]]:
+    """Writes rows (with ``key``, one of ``keys``, and an order: ``_fragment``, ``_row``) so that each key has files of its own.
 
     One shuffle by key; a task's sort keeps the old order of rows.
     """
     folder = f"data/{uuid.uuid4().hex}"
     out = rows.repartition(key).sortWithinPartitions(key, "_fragment", "_row").select(*[f"`{n}`" for n in schema.names], F.col(key).alias("_key"))
     try:
-        writer = out.write.options(**store.options).partitionBy("_key")
-        (writer.option("maxRecordsPerFile", max_rows) if max_rows else writer).parquet(store.path(folder))
-        keys = [r[0] for r in rows.select(key).distinct().collect()]  # fragment or bin numbers
+        # 0: no bound, whatever the session says
+        out.write.options(**store.options).partitionBy("_key").option("maxRecordsPerFile", max_rows).parquet(store.path(folder))
         return {k: collect_files(store, f"{folder}/_key={k}") for k in keys}
     except BaseException:
         store.remove(folder)
@@ -135,7 +134,7 @@ def add_columns(
     out = conform(out, T.StructType([*schema, T.StructField("_fragment", T.LongType()), T.StructField("_row", T.LongType())]))
     if concurrency:
         out = out.coalesce(concurrency)
-    files = rewrite(out, store, schema, "_fragment")
+    files = rewrite(out, store, schema, "_fragment", [f.id for f in base.fragments])
 
     def change(now: Snapshot) -> Snapshot:
         ids, following = dict(base.field_ids), now.next_field

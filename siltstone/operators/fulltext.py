@@ -1,6 +1,7 @@
 """Full-text index and search.
 
-Postings (term, fragment, row, term count, positions) are range-partitioned by term and sorted, so a search
+Postings (term, fragment, row, term count, positions) are made where a text is read, then range-partitioned by term,
+fragment and row, so that a frequent term fills several pages, and sorted, so that a search
 reads the row groups of its terms only.  Fragments the index doesn't cover are searched
 by their text.  Scores are BM25 (Robertson & Zaragoza 2009).
 """
@@ -10,6 +11,8 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,20 +24,48 @@ from siltstone.storage import Store
 K1, B = 1.2, 0.75
 
 
-def postings(rows: DataFrame, column: str, options: dict) -> DataFrame:
+#: Postings that one page holds, about.
+PAGE_POSTINGS = 2_000_000
+_POSTING = "term string, _fragment bigint, _row bigint, length int, tf int, positions array<int>"
+
+
+def _inverted(batches):
+    """Terms of each text once, with their count and ascending positions."""
+    for whole in batches:
+        for i in range(0, whole.num_rows, 256):
+            b = whole.slice(i, 256)
+            size = np.asarray(b.column(2).value_lengths().fill_null(0), np.int64)
+            if not size.sum():
+                continue
+            words = b.column(2).flatten().dictionary_encode()
+            code, row = np.asarray(words.indices, np.int64), np.repeat(np.arange(len(size)), size)
+            position = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+            order = np.lexsort((code, row))  # stable: positions stay in order
+            code, row = code[order], row[order]
+            first = np.flatnonzero(np.concatenate(([True], (code[1:] != code[:-1]) | (row[1:] != row[:-1]))))
+            ends = np.append(first, len(code)).astype(np.int32)
+            at = pa.array(row[first])
+            places = pa.ListArray.from_arrays(pa.array(ends), pa.array(position[order].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([words.dictionary.take(pa.array(code[first])), b.column(0).take(at), b.column(1).take(at), pa.array(size.astype(np.int32)).take(at), pa.array(np.diff(ends)), places], names=["term", "_fragment", "_row", "length", "tf", "positions"])
+
+
+def _words(rows: DataFrame, column: str, options: dict):
     text = F.col(f"`{column}`")
     if rows.schema[column].dataType.typeName() == "array":
         text = F.array_join(text, " ")
-    words = terms(text, options.get("lower_case", True), options.get("remove_stop_words", False))
-    each = rows.select("_fragment", "_row", words.alias("_w")).select("_fragment", "_row", F.size("_w").alias("length"), F.posexplode("_w").alias("position", "term"))
-    return each.groupBy("term", "_fragment", "_row", "length").agg(F.count("*").cast("int").alias("tf"), F.sort_array(F.collect_list("position")).alias("positions"))
+    return terms(text, options.get("lower_case", True), options.get("remove_stop_words", False))
 
 
-def build(rows: DataFrame, column: str, options: dict, pages: int) -> DataFrame:
-    out = postings(rows, column, options)
-    if not options.get("with_position", False):
-        out = out.drop("positions")
-    return out.repartitionByRange(pages, "term").sortWithinPartitions("term")
+def postings(rows: DataFrame, column: str, options: dict, wanted: Sequence[str] | None = None) -> DataFrame:
+    """One row a term and text; with ``wanted`` only of texts that hold one of these terms."""
+    words = rows.select("_fragment", "_row", _words(rows, column, options).alias("_w"))
+    if wanted is not None:
+        words = words.where(F.arrays_overlap("_w", F.array(*map(F.lit, wanted))) if wanted else F.lit(False))
+    return words.mapInArrow(_inverted, _POSTING)
+
+
+def build(staged: DataFrame, pages: int) -> DataFrame:
+    return staged.repartitionByRange(pages, "term", "_fragment", "_row").sortWithinPartitions("term", "_fragment", "_row")
 
 
 def _phrases(query: str) -> tuple[list[str], list[str]]:
@@ -69,27 +100,30 @@ def search(spark: SparkSession, store: Store, snapshot: Snapshot, query: str | d
     covered = set(index.fragments) if index else set()
     positional = any(len(p) > 1 for p in phrase_terms)
     indexed = index is not None and (not positional or options.get("with_position", False))
-    parts, totals = [], []
+    parts = []
     inside, outside = [f for f in fragments if indexed and f.id in covered], [f for f in fragments if not (indexed and f.id in covered)]
     fields = ["term", "_fragment", "_row", "length", "tf", *(["positions"] if positional else [])]
-    if inside:
-        entries = spark.read.options(**store.options).parquet(*[store.path(p["path"]) for p in index.files]) if index.files else None
-        if entries is not None:
-            entries = entries.where(F.col("term").isin(wanted))
-            if len(inside) < len(covered):
-                entries = entries.where(F.col("_fragment").isin([f.id for f in inside]))
-            parts.append(entries.select(*fields))
-        totals.append((options["documents"], options["length"]))
+    pages = [p["path"] for p in index.files if "min" not in p or any(p["min"] <= t <= p["max"] for t in wanted)] if inside else []
+    if pages:
+        entries = spark.read.options(**store.options).parquet(*[store.path(p) for p in pages]).where(F.col("term").isin(wanted))
+        if len(inside) < len(covered):
+            entries = entries.where(F.col("_fragment").isin([f.id for f in inside]))
+        parts.append(entries.select(*fields, F.lit(True).alias("_known")))
     if outside:
         rows = located(spark, store, snapshot, outside)
-        parts.append(postings(rows, column, options_of).where(F.col("term").isin(wanted)).select(*fields))
-    hits = parts[0] if parts else spark.createDataFrame([], "term string, _fragment bigint, _row bigint, length int, tf int" + (", positions array<int>" if positional else ""))
+        parts.append(postings(rows, column, options_of, wanted).where(F.col("term").isin(wanted)).select(*fields, F.lit(not indexed).alias("_known")))
+    hits = parts[0] if parts else spark.createDataFrame([], "term string, _fragment bigint, _row bigint, length int, tf int, _known boolean" + (", positions array<int>" if positional else ""))
     for p in parts[1:]:
         hits = hits.unionByName(p)
-    # corpus figures of the indexed part; without an index, of the rows searched
-    n, length = totals[0] if totals else (sum(f.live for f in fragments), None)
-    mean = F.lit(float(length / max(n, 1) if length is not None else hits.agg(F.avg("length")).first()[0] or 1.0))  # one number
-    df = hits.groupBy("term").agg(F.count("*").alias("_df"))  # one row a query word
+    # corpus figures all come from the indexed part; without an index, from the rows searched
+    if indexed:
+        n, length = options["documents"], options["length"]
+    else:
+        n = sum(f.live for f in fragments)
+        searched = located(spark, store, snapshot, fragments)
+        length = searched.agg(F.sum(F.size(_words(searched, column, options_of)))).first()[0] or 0
+    mean = F.lit(max(float(length) / max(n, 1), 1e-9))
+    df = hits.groupBy("term").agg(F.sum(F.col("_known").cast("int")).alias("_df"))  # one row a query word
     idf = F.log(1 + (F.lit(float(n)) - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
     weight = F.greatest(idf, F.lit(0.0)) * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / mean))
     scored = hits.join(F.broadcast(df), "term").withColumn("_w", weight)
@@ -105,6 +139,9 @@ def search(spark: SparkSession, store: Store, snapshot: Snapshot, query: str | d
                 follows = one if follows is None else F.array_intersect(follows, one)
             per = per.where(F.size(follows) > 0)
     per = per.select("_fragment", "_row", "_score")
+    if len(fragments) > 1:  # only fragments with a hit are read
+        hit = {r[0] for r in per.select("_fragment").distinct().collect()}  # fragment ids
+        fragments = [f for f in fragments if f.id in hit]
     out = located(spark, store, snapshot, fragments).join(per, ["_fragment", "_row"])
     return out.select(*snapshot.schema.names, F.shiftleft("_fragment", 32).bitwiseOR(F.col("_row")).alias("_rowid"), "_score")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 import warnings
 from dataclasses import dataclass, field
@@ -14,9 +15,12 @@ from pyspark.sql import types as T
 from siltstone.manifest import Index, Snapshot, commit
 from siltstone.operators import btree, fulltext
 from siltstone.operators.write import collect_files
+from siltstone.plans.layout import balance
 from siltstone.sources.scan import located
 from siltstone.table import Table, open_table
 
+log = logging.getLogger("siltstone")
+
 # The names of index types, in the order that messages give them.
 INDEX_TYPES = ["BTREE", "BITMAP", "LABEL_LIST", "INVERTED", "FTS", "NGRAM", "ZONEMAP"]
 BUILDABLE = {"BTREE", "FTS", "INVERTED"}
@@ -55,7 +59,8 @@ def create_scalar_index(
 ) -> Table:
     """Builds a B-tree or full-text index and commits it; gives the table at its new version.
 
-    The build is one job: located rows, one range partitioning into about ``num_workers`` pages, one commit.
+    Rows are located and range-partitioned once into pages: one for each worker that fragments are dealt to (by rows), more where
+    there are more entries than a task sorts well. One commit.
     ``fragment_ids``: cover only these. An index of the same name is replaced, or with ``replace=False`` an error.
     ``train=False``: an empty index that covers nothing yet. Full-text options: ``with_position``,
     ``remove_stop_words``, ``lower_case``. Rows added later are scanned until the index is built again.
@@ -73,7 +78,7 @@ def create_scalar_index(
     if kind not in INDEX_TYPES:
         raise ValueError(f"Index type must be one of {INDEX_TYPES}, not '{index_type}'")
     if kind not in BUILDABLE:
-        raise ValueError(f"Distributed indexing currently supports {sorted(BUILDABLE)} index types, not '{index_type}'")
+        raise ValueError(f"this table layer currently supports indices of {sorted(BUILDABLE)}; '{index_type}' is none of them")
     table = open_table(dataset, spark=spark, storage_options=storage_options) if isinstance(dataset, str) else dataset
     spark, store, base = table.spark, table.store, table.refresh().snapshot
     if column not in base.schema.names:
@@ -94,19 +99,27 @@ def create_scalar_index(
         if k not in ("with_position", "remove_stop_words", "lower_case"):
             warnings.warn(f"option {k!r} has no meaning here", stacklevel=2)
             del options[k]
-    # a page is at least a worker's share, and never more rows than a task sorts well
-    pages = max(min(num_workers, len(fragments)), sum(f.live for f in fragments) // 4_000_000)
+    dealt = balance(fragments, min(num_workers, len(fragments)))
+    live = {f.id: f.live for f in fragments}
+    loads = [sum(live[i] for i in ids) for ids in dealt]
+    log.info("index %s: %d fragments dealt to %d workers, %d to %d rows each", name, len(fragments), len(dealt), min(loads, default=0), max(loads, default=0))
     rows = located(spark, store, base, fragments if train else []).select(f"`{column}`", "_fragment", "_row")
     text = kind != "BTREE"
-    folder = f"_indices/{index_uuid or uuid.uuid4().hex}"
-    entries: DataFrame = fulltext.build(rows, column, options, pages) if text else btree.build(rows, column, pages)
+    folder, staging = f"_indices/{index_uuid or uuid.uuid4().hex}", f"_indices/.staging-{uuid.uuid4().hex}"
     try:
+        # at least a page a worker, and never more entries than a task sorts well
+        if text:
+            made_terms = fulltext.postings(rows, column, options)
+            (made_terms if options.get("with_position", False) else made_terms.drop("positions")).write.options(**store.options).parquet(store.path(staging))
+            staged = spark.read.options(**store.options).schema(made_terms.schema if options.get("with_position", False) else made_terms.drop("positions").schema).parquet(store.path(staging))
+            count, length = staged.agg(F.count("*"), F.sum("tf")).first()
+            entries: DataFrame = fulltext.build(staged, max(len(dealt), -(-count // fulltext.PAGE_POSTINGS)))
+            options |= {"documents": sum(live.values()) if train else 0, "length": int(length or 0)}
+        else:
+            entries = btree.build(rows, column, max(len(dealt), sum(live.values()) // 4_000_000))
         entries.write.options(**store.options).mode("overwrite").parquet(store.path(folder))
         bound = "term" if text else "value"
         files = tuple({"path": f.path, "rows": f.rows} | ({"min": f.stats[bound][0], "max": f.stats[bound][1]} if f.stats.get(bound) else {}) for f in collect_files(store, folder))
-        if text:
-            done = spark.read.parquet(*[store.path(f["path"]) for f in files]).agg(F.sum("tf")).first()[0] if files else 0
-            options |= {"documents": sum(f.live for f in fragments) if train else 0, "length": int(done or 0)}
         made = Index(folder.rpartition("/")[2], name, column, base.field_ids[column], "Inverted" if text else "BTree", tuple(f.id for f in fragments) if train else (), base.version, options, files)
 
         def change(now: Snapshot) -> Snapshot:
@@ -120,4 +133,6 @@ def create_scalar_index(
     except BaseException:
         store.remove(folder)
         raise
+    finally:
+        store.remove(staging)
     return table.refresh()

@@ -30,6 +30,8 @@ def _place(spark: SparkSession) -> str:
     """A new folder that all executors share."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _local:
             _local.append(tempfile.mkdtemp(prefix="siltstone-"))
             atexit.register(shutil.rmtree, _local[0], True)
@@ -119,6 +121,15 @@ def scan_limit_offset(spark, sf_dir):
     return read_table(_stored(spark, sf_dir, "orders"), spark=spark, columns=["o_orderkey", "o_totalprice"], scanner_options={"order_by": [F.desc("o_totalprice"), "o_orderkey"], "limit": 20, "offset": 5})
 
 
+_POINT = [round(0.1 * (k * 7 % 5 - 2), 1) for k in range(64)]
+
+
+@_query(f"SELECT round(sqrt(list_sum(list_transform(range(1, 65), lambda i: (embedding[i]::DOUBLE - {_POINT}[i]::DOUBLE) ** 2))), 4) AS distance FROM embeddings WHERE vec_id % 3 > 0 AND len(embedding) = 64 ORDER BY distance LIMIT 25")
+def scan_nearest(spark, sf_dir):
+    rows = read_table(_stored(spark, sf_dir, "embeddings"), spark=spark, columns=["vec_id"], filter="vec_id % 3 > 0", scanner_options={"nearest": {"column": "embedding", "q": _POINT, "k": 25}})
+    return rows.select(F.round(F.sqrt("_distance"), 4).alias("distance"))
+
+
 @_query("SELECT count(*) AS n, count(*) AS distinct_ids FROM orders")
 def row_ids(spark, sf_dir):
     rows = read_table(_stored(spark, sf_dir, "orders", max_rows_per_file=4000, min_rows_per_file=1), spark=spark, columns=["o_orderkey"], scanner_options={"with_row_id": True})

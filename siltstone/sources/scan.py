@@ -23,6 +23,10 @@ from siltstone.storage import Store
 BROADCAST_DELETIONS = 1_000_000
 
 
+#: Scanner options about speed only.
+HINTS = ("batch_size", "batch_readahead", "fragment_readahead", "io_buffer_size", "late_materialization", "scan_in_order", "use_stats")
+
+
 def empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -94,6 +98,28 @@ def choose(spark: SparkSession, store: Store, snapshot: Snapshot, filter: str |
     return fragments
 
 
+def _nearest(rows: DataFrame, column: str, q: Sequence[float], k: int = 10, metric: str = "l2") -> DataFrame:
+    """The k rows with the least distance (squared for l2, 1 - similarity for the others), each task keeping its k best.
+
+    Null vectors, vectors of another length and distances that are no number are never near.
+    """
+    if k <= 0 or metric not in ("l2", "cosine", "dot"):
+        raise ValueError(f"nearest needs k > 0 and a metric of l2, cosine or dot, not {k} and {metric!r}")
+    q = [float(x) for x in q]
+    v, total = F.col(f"`{column}`"), lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
+    point = F.array(*map(F.lit, q))
+    product = total(F.zip_with(v, point, lambda x, y: x.cast("double") * y))
+    if metric == "l2":
+        away = total(F.zip_with(v, point, lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)))
+    elif metric == "dot":
+        away = 1 - product
+    else:
+        norm = F.sqrt(total(F.transform(v, lambda x: x.cast("double") * x.cast("double"))))
+        away = 1 - product / (norm * float(sum(x * x for x in q) ** 0.5))
+    out = rows.where(F.size(v) == len(q)).withColumn("_distance", away)
+    return out.where(F.col("_distance").isNotNull() & ~F.isnan("_distance")).orderBy("_distance").limit(k)
+
+
 def read_table(
     uri: str | None = None,
     *,
@@ -114,7 +140,9 @@ def read_table(
     ``columns``: in this order. ``filter``: Spark SQL over all columns, projected or not.
     ``fragment_ids``: only these (unknown ones are passed over; empty: all).
     ``dataset_options``: ``version``. ``scanner_options``: ``columns``, ``filter``, ``with_row_id``, ``limit``,
-    ``offset``, ``order_by`` (columns), ``full_text_query``, ``use_scalar_index``; ``batch_size`` is Spark's own to choose.
+    ``offset``, ``order_by`` (columns), ``full_text_query``, ``use_scalar_index``, and ``nearest``: {"column", "q", "k" (10),
+    "metric" ("l2", "cosine", "dot")}, the k rows that meet the filter and lie nearest to the vector q, with ``_distance``.
+    ``HINTS`` such as ``batch_size`` are Spark's own to choose; other options are an error.
     ``override_num_blocks``: number of partitions; ``concurrency``: at most so many.
     A missing table fails here, not at the first action.
     """
@@ -127,11 +155,15 @@ def read_table(
     row_ids, query = scanner.pop("with_row_id", False), scanner.pop("full_text_query", None)
     limit, offset, order = scanner.pop("limit", None), scanner.pop("offset", None), scanner.pop("order_by", None)
     fragments = choose(spark, store, snapshot, filter, fragment_ids, scanner.pop("use_scalar_index", True))
-    scanner.pop("batch_size", None)
+    nearest = scanner.pop("nearest", None)
+    for k in HINTS:  # how fast, not what
+        scanner.pop(k, None)
     dataset.pop("block_size", None)
-    for k in (*scanner, *dataset):
+    if scanner:  # it could change the result
+        raise ValueError(f"scanner options {sorted(scanner)} are unknown")
+    for k in dataset:
         warnings.warn(f"option {k!r} has no meaning here", stacklevel=2)
-    unknown = [c for c in columns or () if c not in snapshot.schema.names and not (row_ids and c == "_rowid")]
+    unknown = [c for c in columns or () if c not in snapshot.schema.names and not (row_ids and c == "_rowid") and not (nearest is not None and c == "_distance")]
     if unknown:
         raise ValueError(f"columns {unknown} not found; the table has {snapshot.schema.names}")
     if query is not None:
@@ -145,6 +177,8 @@ def read_table(
         out = scan(spark, store, snapshot, fragments, row_ids)
     if filter:
         out = out.where(F.expr(filter))
+    if nearest is not None:
+        out = _nearest(out, **nearest)
     if order:
         out = out.orderBy(*order)
     if offset:
@@ -152,7 +186,7 @@ def read_table(
     if limit is not None:
         out = out.limit(int(limit))
     if columns is not None:
-        out = out.select(*[F.col(f"`{c}`") for c in columns], *(["_rowid"] if row_ids and "_rowid" not in columns else []))
+        out = out.select(*[F.col(f"`{c}`") for c in columns], *(["_rowid"] if row_ids and "_rowid" not in columns else []), *(["_distance"] if nearest is not None and "_distance" not in columns else []))
     if override_num_blocks:
         out = out.repartition(override_num_blocks)
     if concurrency:

@@ -3,7 +3,9 @@ import warnings
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+from pyspark.sql import functions as F
 
 import siltstone as st
 from siltstone.manifest import Fragment, commit, load
@@ -363,3 +365,65 @@ def test_hints_warn_about_unknown_options(spark, tmp_path):
         warnings.simplefilter("always")
         st.read_table(uri, spark=spark, scanner_options={"batch_size": 10, "odd": 1}, override_num_blocks=3, concurrency=2)
     assert any("odd" in str(w.message) for w in seen) and not any("batch_size" in str(w.message) for w in seen)
+
+
+def test_scanner_options_that_change_results(spark, tmp_path):
+    uri = str(tmp_path / "v")
+    rows = [(k, [float(k), 1.0, 0.0]) for k in range(40)] + [(100, None), (101, [1.0]), (102, [float("nan"), 0.0, 0.0])]
+    st.write_table(spark.createDataFrame(rows, "id int, v array<float>"), uri, spark=spark)
+    with pytest.raises(ValueError, match="unknown"):
+        st.read_table(uri, spark=spark, scanner_options={"prefilter": True})
+    assert st.read_table(uri, spark=spark, scanner_options={"batch_size": 7}).count() == 43
+    near = lambda **n: [(r["id"], round(r["_distance"], 6)) for r in st.read_table(uri, spark=spark, columns=["id"], filter="id <> 6", scanner_options={"nearest": {"column": "v", "q": [5.2, 1, 0], **n}}).collect()]
+    assert near(k=3) == [(5, 0.04), (4, 1.44), (7, 3.24)]
+    assert near(k=1, metric="dot") == [(39, round(1 - (39 * 5.2 + 1), 6))] and near(k=1, metric="cosine")[0][0] == 5
+    assert len(near(k=500)) == 39
+    with pytest.raises(ValueError, match="nearest"):
+        near(metric="far")
+
+
+def test_full_text_pages_and_scores(spark, tmp_path, monkeypatch):
+    from siltstone.operators import fulltext
+
+    monkeypatch.setattr(fulltext, "PAGE_POSTINGS", 200)
+    uri = str(tmp_path / "t")
+    rows = [(k, " ".join(["common", f"w{k}", f"w{k % 7}", "common"])) for k in range(300)]
+    st.write_table(spark.createDataFrame(rows, "id int, t string").coalesce(1), uri, spark=spark)
+    table = st.create_scalar_index(uri, "t", "INVERTED", spark=spark, with_position=True)
+    (index,) = table.snapshot.indices
+    assert len(table.fragments()) == 1 and len(index.files) > 2 and sum(f["rows"] for f in index.files) == sum(len(set(t.split())) for _, t in rows)
+    assert table.search("common").count() == 300 and [r["id"] for r in table.search("w250").collect()] == [250]
+    assert sorted(r["id"] for r in table.search('"w9 w2"').collect()) == [9]
+    before = {r["id"]: r["_score"] for r in table.search("w3").collect()}
+    st.write_table(spark.createDataFrame([(1000 + k, "w3 " * 9) for k in range(5)], "id int, t string"), uri, spark=spark, mode="append")
+    after = {r["id"]: r["_score"] for r in st.open_table(uri, spark=spark).search("w3").collect()}
+    assert len(after) == len(before) + 5 and all(abs(after[k] - v) < 1e-9 for k, v in before.items())
+
+
+def test_transforms_run_once_a_row(spark, tmp_path):
+    uri, calls = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
+    st.write_table(spark.range(1000).coalesce(1), uri, spark=spark)
+
+    def twice(b):
+        calls.add(b.num_rows)
+        return pa.RecordBatch.from_arrays([pc.multiply(b.column(0), 2)], names=["twice"])
+
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 100)
+    try:
+        st.open_table(uri, spark=spark).add_columns(st.BatchUDF(twice, pa.schema([("twice", pa.int64())])), read_version=1)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert calls.value == 1000 and st.read_table(uri, spark=spark).where("twice = 2 * id").count() == 1000
+    st.write_table(spark.range(3).withColumn("twice", F.lit(0).cast("bigint")), uri, spark=spark, mode="append")
+    with pytest.raises(st.CommitConflict):
+        st.open_table(uri, spark=spark).add_columns({"more": "id"}, read_version=2)
+
+
+def test_other_namespaces(spark, tmp_path):
+    made = []
+    st.register_namespace("mine", lambda properties: made.append(properties) or st.DirectoryNamespace(properties["at"]))
+    space = st.connect("mine", {"at": str(tmp_path)})
+    st.write_table(spark.range(3), spark=spark, namespace=space, table_id=["a", "b"])
+    assert made == [{"at": str(tmp_path)}] and st.read_table(spark=spark, namespace=space, table_id=["a", "b"]).count() == 3
+    with pytest.raises(ValueError, match="no namespace of kind"):
+        st.connect("other", {})
