@@ -70,13 +70,13 @@ _NUMBERS = [
     # groups of digits alone are no number to call: it takes +, brackets, a leading zero or the form 3-3-4
     ("phone", re.compile(r"(?<![\w+])(?!\d\d?[./-]\d\d?[./-]\d{4}(?!\d))(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{2,4}\)[ .-]?\d{3}[ .-]\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4}|0\d{1,4}(?:[ .-]\d{2,4}){2,4})(?!\w)")),
 ]
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])")
-# both start with a choice of words, by whose first letters the search skips quickly
+# all start with a choice of words, by whose first letters the search skips quickly
 _NAMED = re.compile(r"(" + "|".join(sorted(_GENDER, key=len, reverse=True)) + r") (" + _CAPITAL + r")(?!\w)")
 _TITLE_GENDER = {t: g for g, titles in TITLES.items() for t in titles}
 _TITLED = re.compile(r"(" + "|".join(sorted(_TITLE_GENDER, key=len, reverse=True)) + r")\.? (" + _CAPITAL + r")(?: (" + _CAPITAL + r"))?(?!\w)")
-_CUED = re.compile(r"(?:" + "|".join(CUES) + r")\s+(" + _CAPITAL + r")(?: (" + _CAPITAL + r"))?(?!\w)")
+_CUED = re.compile(r"(?:" + "|".join(x for c in CUES for x in ([c[1] + c[4:], c[2] + c[4:]] if c[0] == "[" else [c])) + r")\s+(" + _CAPITAL + r")(?: (" + _CAPITAL + r"))?(?!\w)")
 _DIGIT = re.compile(r"\d")
 
 
@@ -149,7 +149,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             for m in pattern.finditer(text, stretch.start(), min(len(text), stretch.end() + 1)):
                 if kind != "phone" or 8 <= len(_DIGIT.findall(m[0])) <= 15:
                     add(kind, *m.span())
-    for m in _IBAN.finditer(text):
+    for m in _words_from(_IBAN, text):
         value = canonical("iban", m[0])
         if iban_check(value[:2], value[4:]) == value[2:4]:
             add("iban", *m.span())
