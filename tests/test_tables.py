@@ -358,13 +358,16 @@ def test_queries_match_their_sql(spark):
         assert sorted(map(repr, got.select(*order).toPandas().itertuples(index=False, name=None))) == sorted(map(repr, want.df()[order].itertuples(index=False, name=None))), name
 
 
-def test_hints_warn_about_unknown_options(spark, tmp_path):
+def test_unknown_options(spark, tmp_path):
+    """Options of the dataset without a meaning warn; options of the scanner that aren't known are errors, and hints are neither."""
     uri = str(tmp_path / "t")
     st.write_table(PEOPLE, uri, spark=spark)
     with warnings.catch_warnings(record=True) as seen:
         warnings.simplefilter("always")
-        st.read_table(uri, spark=spark, scanner_options={"batch_size": 10, "odd": 1}, override_num_blocks=3, concurrency=2)
+        st.read_table(uri, spark=spark, scanner_options={"batch_size": 10}, dataset_options={"odd": 1}, override_num_blocks=3, concurrency=2)
     assert any("odd" in str(w.message) for w in seen) and not any("batch_size" in str(w.message) for w in seen)
+    with pytest.raises(ValueError, match="odd"):
+        st.read_table(uri, spark=spark, scanner_options={"batch_size": 10, "odd": 1})
 
 
 def test_scanner_options_that_change_results(spark, tmp_path):
