@@ -15,11 +15,13 @@ direction it shares, and a chunk pair gives link counts and a spanning forest.
 
 from __future__ import annotations
 
+import functools
 import math
 from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,22 +36,34 @@ SHARED = 16.0
 CODES = 32
 
 
+@functools.lru_cache(maxsize=64)
+def directions(dim: int, n: int, cosine: float) -> tuple[int, int, float]:
+    """Blocks of a product code, codes of a block, and the wanted length of a vector's list."""
+    tail = min(0.25, OCCUPANCY / max(n, 1))
+    a = NormalDist().inv_cdf(1 - tail)
+    # chance that the partner at this cosine also exceeds, by the bivariate normal law
+    x = a + np.linspace(0, 8, 4001)
+    weight = np.exp(-x * x / 2)
+    spread = math.sqrt(max(1e-9, 1 - cosine * cosine))
+    both = np.array([1 - NormalDist().cdf((a - cosine * v) / spread) for v in x])
+    want = SHARED / float((weight * both).sum() / weight.sum())
+    count = max(8.0, want / tail)
+    blocks = 1 if dim < 4 else 2 if count < 4e6 or dim < 12 else 3
+    return blocks, math.ceil((count / CODES) ** (1 / blocks)), want
+
+
+def sent_as(dim: int, n: int, cosine: float) -> type:
+    """The type of directions in the lists that are sent."""
+    blocks, size, _ = directions(dim, n, cosine)
+    return np.int32 if CODES * size**blocks < 1 << 31 else np.int64
+
+
 class CapCode:
     """Random product code for vectors of one length; equal arguments give equal codes."""
 
     def __init__(self, dim: int, n: int, cosine: float, seed: int = 11):
         rng = np.random.default_rng([seed, dim])
-        tail = min(0.25, OCCUPANCY / max(n, 1))
-        a = NormalDist().inv_cdf(1 - tail)
-        # chance that the partner at this cosine also exceeds, by the bivariate normal law
-        x = a + np.linspace(0, 8, 4001)
-        weight = np.exp(-x * x / 2)
-        spread = math.sqrt(max(1e-9, 1 - cosine * cosine))
-        both = np.array([1 - NormalDist().cdf((a - cosine * v) / spread) for v in x])
-        want = SHARED / float((weight * both).sum() / weight.sum())
-        count = max(8.0, want / tail)
-        self.blocks = 1 if dim < 4 else 2 if count < 4e6 or dim < 12 else 3
-        self.size = math.ceil((count / CODES) ** (1 / self.blocks))
+        self.blocks, self.size, want = directions(dim, n, cosine)
         self.edges = np.linspace(0, dim, self.blocks + 1).astype(int)
         self.rotations, self.codes = [], []
         for _ in range(CODES):
@@ -143,11 +157,13 @@ def _decoder(n: int, cosine: float):
                 b = whole.slice(i, 2048)
                 for dim, (rows, x) in _matrix(b.column(3)).items():
                     at, code = code_for(dim, n, cosine).decode(_unit(x))
-                    code = (code << 12) | min(dim, 4095)  # vectors of another length never meet
-                    edges = np.searchsorted(at, np.arange(len(rows) + 1))
-                    lists = [code[p:q].tobytes() for p, q in zip(edges, edges[1:])]
+                    # with a direction go the smaller ones of its vector's list
+                    width = sent_as(dim, n, cosine)
+                    sent, size = code.astype(width).tobytes(), np.dtype(width).itemsize
+                    start = (np.searchsorted(at, np.arange(len(rows)))[at] * size).tolist()
+                    lists = [sent[p : k * size] for k, p in enumerate(start)]
                     take = pa.array(rows[at])
-                    yield pa.RecordBatch.from_arrays([pa.array(code), b.column(0).take(take), b.column(1).take(take), b.column(2).take(take), b.column(3).take(take), pa.array(lists, pa.binary()).take(pa.array(at))], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(code), b.column(0).take(take), b.column(1).take(take), b.column(2).take(take), b.column(3).take(take), pa.array(lists, pa.binary())], names=names)
 
     return run
 
@@ -166,11 +182,11 @@ def _forest(pairs: np.ndarray, n: int) -> np.ndarray:
         label = new
 
 
-def _compare(cosine: float):
+def _compare(n: int, cosine: float):
     schema = pa.schema([("_id", pa.int64()), ("_h", pa.int64()), ("_links", pa.int64()), ("_root", pa.int64())])
 
-    def pairs_of(f, chunk, lo, hi, unit, lists):
-        """Index pairs at or above the cosine whose smallest common direction is f."""
+    def pairs_of(width, chunk, lo, hi, unit, lists):
+        """Index pairs at or above the cosine that have no smaller direction in common (``lists``)."""
         a = np.flatnonzero(chunk == lo)
         b = a if lo == hi else np.flatnonzero(chunk == hi)
         s = unit[a] @ unit[b].T
@@ -180,8 +196,7 @@ def _compare(cosine: float):
         if not ok.any():
             return np.zeros((0, 2), np.int64)
         ra, rb = np.flatnonzero(ok.any(1)), np.flatnonzero(ok.any(0))
-        low = [np.frombuffer(lists[k], np.int64) for k in np.concatenate((a[ra], b[rb]))]
-        low = [x[x < f] for x in low]
+        low = [np.frombuffer(lists[k], width) for k in np.concatenate((a[ra], b[rb]))]
         every = np.unique(np.concatenate(low))
         p, q = np.nonzero(ok[np.ix_(ra, rb)])
         earlier = np.zeros((len(ra), len(rb)), np.float32)
@@ -199,16 +214,17 @@ def _compare(cosine: float):
         f, lo, hi, chunk = (np.asarray(t[c].combine_chunks()) for c in ("_f", "_lo", "_hi", "_c"))
         ids, hs, mult = (np.asarray(t[c].combine_chunks()) for c in ("_id", "_h", "_m"))
         lists, vectors = t["_fs"].to_pylist(), t["_v"].combine_chunks()
-        order = np.lexsort((hi, lo, f))
-        cuts = np.flatnonzero((np.diff(f[order]) != 0) | (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0)) + 1
+        dims = np.asarray(pc.list_value_length(vectors))  # directions of another length have the same numbers
+        order = np.lexsort((dims, hi, lo, f))
+        cuts = np.flatnonzero((np.diff(f[order]) != 0) | (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0) | (np.diff(dims[order]) != 0)) + 1
         out = [[], [], [], []]
         for rows in np.split(order, cuts):
             if len(rows) < 2:
                 continue
             rows = rows[np.lexsort((hs[rows], ids[rows]))]
-            ((_, x),) = _matrix(vectors.take(pa.array(rows))).values()
+            ((dim, (_, x)),) = _matrix(vectors.take(pa.array(rows))).items()
             k = rows[0]
-            pairs = pairs_of(f[k], chunk[rows], lo[k], hi[k], _unit(x), [lists[r] for r in rows])
+            pairs = pairs_of(sent_as(dim, n, cosine), chunk[rows], lo[k], hi[k], _unit(x), [lists[r] for r in rows])
             if len(pairs):
                 m = mult[rows]
                 links = np.bincount(pairs[:, 0], m[pairs[:, 1]], len(rows)) + np.bincount(pairs[:, 1], m[pairs[:, 0]], len(rows))
@@ -250,7 +266,7 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     # a task's group holds many directions, or one chunk pair of a crowded one
     groups = max(16, 1 << (n * 32 // 4096).bit_length())
     dealt = dealt.withColumn("_g", F.pmod(F.xxhash64("_f", "_lo", "_hi"), F.lit(groups)))
-    found = cut(dealt.groupBy("_g").applyInArrow(_compare(cosine), "_id bigint, _h bigint, _links bigint, _root bigint"))
+    found = cut(dealt.groupBy("_g").applyInArrow(_compare(n, cosine), "_id bigint, _h bigint, _links bigint, _root bigint"))
     links = found.groupBy("_id", "_h").agg(F.sum("_links").alias("_links"))
     parts = connected_components(found.select(F.col("_id").alias("a"), F.col("_root").alias("b")))
     known = classes.join(links, ["_id", "_h"], "left").join(parts.withColumnRenamed("node", "_id"), "_id", "left")

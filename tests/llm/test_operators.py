@@ -710,6 +710,20 @@ def test_vectors(spark, monkeypatch, chunk):
     assert not V.link_vectors(df.where("false")).collect()
 
 
+def test_lengths_never_meet():
+    """Directions of all lengths share numbers; vectors of two lengths in one are compared apart, and pairs with a smaller common direction aren't counted."""
+    import pyarrow as pa
+
+    from siltstone.llm.vector_dedup import _compare, sent_as
+
+    x = np.random.default_rng(5).normal(size=40)
+    vectors = [x, x + 0.01, x[:39], x[:39] + 0.01, x + 0.02]
+    lists = [[], [1], [], [], [1]]  # 2 and 5 meet in direction 1 already
+    t = pa.table({"_f": [9] * 5, "_lo": [0] * 5, "_hi": [0] * 5, "_c": [0] * 5, "_id": [1, 2, 3, 4, 5], "_h": [0] * 5, "_m": [1] * 5, "_v": [v.tolist() for v in vectors], "_fs": [np.array(f, sent_as(40, 5, 0.9)).tobytes() for f in lists]})
+    got = _compare(5, 0.9)(t).to_pylist()
+    assert sorted((r["_id"], r["_links"], r["_root"]) for r in got) == [(1, 2, 1), (2, 1, 1), (3, 1, 3), (4, 1, 3), (5, 1, 1)]
+
+
 def test_codes_decode_to_all_exceeding_directions():
     from siltstone.llm.vector_dedup import CapCode
 
