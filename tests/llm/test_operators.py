@@ -503,6 +503,22 @@ def test_machine_learns_an_interaction():
     assert v[f[11]] @ v[f[22]] > 0.3
 
 
+def test_scores_pair_by_pair():
+    """The machine's linear-time sum is the bias, the weights and every pair's product of factors, once each."""
+    import itertools
+    import math
+
+    from siltstone.llm.toxicity import FactorizationMachine
+
+    r = np.random.default_rng(2)
+    m = FactorizationMachine(np.arange(30), -0.4, r.normal(size=30), r.normal(0, 0.3, (30, 6)))
+    docs = [sorted(r.choice(30, k, replace=False).tolist()) for k in (0, 1, 2, 7, 30, 0)]
+    got = m.scores(np.repeat(np.arange(len(docs)), [len(d) for d in docs]), np.array([f for d in docs for f in d], int), len(docs))
+    for d, score in zip(docs, got):
+        z = m.bias + sum(m.weights[f] for f in d) + sum(float(m.factors[a] @ m.factors[b]) for a, b in itertools.combinations(d, 2))
+        assert abs(score - 1 / (1 + math.exp(-z))) < 1e-9
+
+
 def test_toxicity(spark):
     from siltstone.llm.toxicity import learn_toxicity, reject_toxic, score_toxicity
 
