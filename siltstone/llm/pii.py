@@ -10,6 +10,9 @@ digits is drawn from both.  So different entities stay different and equal ones
 in all documents and formats.  Listed given names are permuted within gender and script; other names
 are composed in their script.
 
+Beside keys and values that are named as secrets, the found types are addresses of mail and IP, numbers of phones, cards,
+accounts and social security, and dates that are said to be of birth.
+
 Names are found by lists, titles and cues ("my name is"); what a document has so shown to be
 a name is replaced wherever it stands in that document, so no later mention keeps the real name.
 
@@ -56,17 +59,31 @@ CUES = ["[Mm]y name is", "[Nn]ame:", "Dear", "[Ss]igned by", "[Rr]egards,", "[Ss
 _GENDER = {n: (script, gender) for (script, gender), names in GIVEN.items() for n in names}
 _CAPITAL = r"[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫЀ-Я][^\W\d_]+(?:-[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫЀ-Я][^\W\d_]+)?"
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
-_KEY = re.compile(r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b")
+# How the keys of services begin.
+KEY_STARTS = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "sk-", "sk_live_", "sk_test_", "rk_live_", "rk_test_", "xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-", "AIza", "eyJ")
+_KEY = re.compile(
+    r"(?<![\w-])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_\w{22,}|sk-(?=[\w-]*\d)[A-Za-z0-9_-]{20,}|[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"
+    r"|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35}|eyJ[\w-]{8,}\.eyJ[\w-]{8,}\.[\w-]{8,})(?!\w)",
+    re.ASCII,
+)
+_PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_BEARER = re.compile(r"[Bb]earer (?=[A-Za-z._~+/-]*\d)([A-Za-z0-9._~+/-]{16,}=*)")
 #: The separator of "password = ...", found by a look ahead, so that a value is searched for separators too; the word before it is looked at only there.
 _SEPARATOR = re.compile(r"[=:](?=\s*[\"']?[^\s\"']{8})")
 _VALUE = re.compile(r"[=:]\s*[\"']?([^\s\"']+)")
-_SECRET = re.compile(r"(?i:password|passwd|secret|token|api_?key)$")
+# What is said before a secret.
+SECRET_WORDS = "password|passwd|passphrase|pwd|passwort|kennwort|contraseña|mot de passe|пароль|secret|token|(?:api|access|secret|private)[_-]?key"
+_SECRET = re.compile(rf"(?i:{SECRET_WORDS})\Z")
+_LONGEST_WORD = 12
+# What is said before a date of birth.
+BIRTH_WORDS = "[Bb]orn on|[Bb]orn|[Dd]ate of birth|DOB|D\\.O\\.B\\.|[Gg]eboren am|[Gg]eburtsdatum|[Nn]ée? le|[Dd]ate de naissance|[Nn]acid[oa] el|[Ff]echa de nacimiento"
+_BIRTH = re.compile(r"(?<!\w)(?:" + BIRTH_WORDS + r")\s*:?\s*(\d{4}-\d\d?-\d\d?|\d\d?([./-])\d\d?\2\d{4})(?!\d)")
 #: Stretches that can hold numbers; the number patterns look at these only.
 _STRETCH = re.compile(r"[\d+(][\d ().+\-]{5,}\d")
 _NUMBERS = [
     ("ip", re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)")),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
-    ("card", re.compile(r"(?<![\d-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\d-])")),
+    ("card", re.compile(r"(?<![\d-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|3[47]\d\d[ -]\d{6}[ -]\d{5})(?![\d-])")),
     # groups of digits alone are no number to call: it takes +, brackets, a leading zero or the form 3-3-4
     ("phone", re.compile(r"(?<![\w+])(?!\d\d?[./-]\d\d?[./-]\d{4}(?!\d))(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{2,4}\)[ .-]?\d{3}[ .-]\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4}|0\d{1,4}(?:[ .-]\d{2,4}){2,4})(?!\w)")),
 ]
@@ -97,9 +114,20 @@ def canonical(kind: str, mention: str) -> str:
         return mention.replace(" ", "")
     if kind == "ip6":
         return ipaddress.ip_address(mention).compressed
+    if kind == "birth":
+        parts = re.findall(r"\d+", mention)
+        return "-".join(parts[k].zfill(2) for k in date_order(mention))
     return mention
 
 
+def date_order(mention: str) -> tuple[int, int, int]:
+    """Where a date's year, month and day stand. Month first with slashes, day first with points and dashes, unless that would be a month past 12."""
+    a, b, _ = (int(x) for x in re.findall(r"\d+", mention))
+    if re.match(r"\d{4}", mention):
+        return 0, 1, 2
+    return (2, 0, 1) if (a <= 12 if "/" in mention else a <= 12 < b) else (2, 1, 0)
+
+
 def iban_check(country: str, rest: str) -> str:
     """The two check digits (ISO 7064, 97-10)."""
     return f"{98 - int(''.join(str(int(c, 36)) for c in rest + country + '00')) % 97:02d}"
@@ -112,6 +140,25 @@ def _is_ipv6(text: str) -> bool:
         return False
 
 
+def _ibans(text: str):
+    """(start, end) of all account numbers whose check digits are right; words in capitals or another number may follow one."""
+    m = _IBAN.search(text)
+    while m:
+        a, b = m.span()
+        if not (a and (text[a - 1].isalnum() or text[a - 1] == "_")):
+            while b - a >= 15:
+                value = canonical("iban", text[a:b])
+                if len(value) >= 15 and iban_check(value[:2], value[4:]) == value[2:4]:
+                    yield a, b
+                    break
+                b = text.rfind(" ", a, b)
+            else:
+                b = 0
+        else:
+            b = 0
+        m = _IBAN.search(text, b or a + 1)
+
+
 def _words_from(pattern: re.Pattern, text: str):
     """Matches that don't start within a word."""
     m = pattern.search(text)
@@ -132,15 +179,23 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     if "@" in text:
         for m in _EMAIL.finditer(text):
             add("email", *m.span())
-    if "AKIA" in text or "ASIA" in text:
+    if any(x in text for x in KEY_STARTS):
         for m in _KEY.finditer(text):
             add("key", *m.span())
+    if "-----BEGIN " in text:
+        for m in _PEM.finditer(text):
+            add("pem", *m.span(2))
+    if "earer " in text:
+        for m in _BEARER.finditer(text):
+            add("secret", *m.span(1))
     done = 0  # neither a keyword nor a separator is taken from a secret
     for m in _SEPARATOR.finditer(text):
         word = m.start()
         while word > done and text[word - 1].isspace():
             word -= 1
-        if _SECRET.search(text, max(done, word - 8), word):
+        if word > done and text[word - 1] in "\"'":  # "password": "..."
+            word -= 1
+        if _SECRET.search(text, max(done, word - _LONGEST_WORD), word):
             value = _VALUE.match(text, m.start())
             add("secret", *value.span(1))
             done = value.end()
@@ -149,10 +204,11 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             for m in pattern.finditer(text, stretch.start(), min(len(text), stretch.end() + 1)):
                 if kind != "phone" or 8 <= len(_DIGIT.findall(m[0])) <= 15:
                     add(kind, *m.span())
-    for m in _words_from(_IBAN, text):
-        value = canonical("iban", m[0])
-        if iban_check(value[:2], value[4:]) == value[2:4]:
-            add("iban", *m.span())
+    for a, b in _ibans(text):
+        add("iban", a, b)
+    for m in _BIRTH.finditer(text):
+        if "00" not in (parts := canonical("birth", m[1]).split("-"))[1:] and int(parts[1]) <= 12 and int(parts[2]) <= 31:
+            add("birth", *m.span(1))
     if "::" in text or text.count(":") > 3:
         for m in _IPV6.finditer(text):
             if _is_ipv6(m[0]):
@@ -267,6 +323,17 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
         _, script, gender = kind.split(":")
         part = lambda: SYLLABLES[script][draw.below(len(SYLLABLES[script]))]
         return ("".join(part() for _ in range(2 + attempt // 4)) + GIVEN_ENDINGS[script][gender]).capitalize()
+    if kind == "birth":
+        # a day past 12, so that it reads as the same date in every order and different dates stay different
+        year = 1000 + draw.below(9000) if more else 1930 + draw.below(80)
+        return f"{year}-{draw.below(12) + 1:02d}-{draw.below(16) + 13:02d}"
+    if kind == "key" and entity[:4] not in ("AKIA", "ASIA"):
+        def part(x: str, more: int = 0) -> str:
+            start = max((k for k in KEY_STARTS if x.startswith(k)), key=len, default="")
+            return start + _shaped(x[len(start) :], draw, more)
+
+        *front, last = entity.split(".")
+        return ".".join([*map(part, front), part(last, more)])
     if kind == "key":
         return entity[:4] + "".join(draw.of("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in entity[4:])
     if kind.startswith("given:"):
@@ -293,6 +360,12 @@ def render(kind: str, mention: str, chosen: str) -> str:
                 out += reversed(rest)
                 rest = []
         return "".join(reversed(out))
+    if kind == "birth":
+        order, new = date_order(mention), chosen.split("-")
+        parts = re.findall(r"\d+", mention)
+        for k, value in zip(order, new):
+            parts[k] = value if len(parts[k]) > 1 else value.lstrip("0")
+        return "".join(x + y for x, y in zip(parts, [*re.findall(r"\D", mention), ""]))
     if kind == "iban":
         rest = iter(chosen)
         return "".join(c if c == " " else next(rest) for c in mention)

@@ -562,9 +562,15 @@ def test_secrets_within_other_values():
         ("login:password=hunter2secret", "hunter2secret"),
         ("Error: api_key=abcdefgh1234", "abcdefgh1234"),
         ("password" + " " * 40 + "= hunter2secret", "hunter2secret"),
+        ('{"user": "bob", "api-key": "abcdef123456"}', "abcdef123456"),
+        ("{'Password' : 'hunter2secret'}", "hunter2secret"),
+        ("aws_secret_access_key = wJalrXUtnFEMI/K7MDENG", "wJalrXUtnFEMI/K7MDENG"),
+        ("Mot de passe : motsecret12", "motsecret12"),
+        ("contraseña: secreto1234", "secreto1234"),
+        ("Authorization: Bearer abcdef1234567890XYZ==", "abcdef1234567890XYZ=="),
     ]:
         assert [text[a:b] for a, b, k, _ in pii.detect(text) if k == "secret"] == [secret], text
-    plain = re.compile(r"(?i:password|passwd|secret|token|api_?key)\s*[=:]\s*[\"']?([^\s\"']{8,})")
+    plain = re.compile(rf"(?i:{pii.SECRET_WORDS})[\"']?\s*[=:]\s*[\"']?([^\s\"']{{8,}})")
     rng = random.Random(3)
     parts = ["password", "Token", "api_key", "APIKEY", "secret", "user", "=", ":", "=", " ", "\n", "'", "abcdefgh", "xyz", "&", "passwd"]
     for _ in range(20000):
@@ -573,6 +579,32 @@ def test_secrets_within_other_values():
     pii.detect("=" * 1_000_000)  # time in proportion to the text
 
 
+def test_keys_of_services():
+    body = "0aB1" * 10
+    keys = ["ghp_" + body[:36], "github_pat_" + body[:24], "sk-" + body[:30], "sk_live_" + body[:24], "xoxb-" + body[:20], "AIza" + body[:35], f"eyJ{body[:12]}.eyJ{body[:20]}.{body[:16]}"]
+    for key in keys:
+        ((a, b, kind, entity),) = pii.detect(f"use {key}, now")
+        new = pii.surrogate(b"k", kind, entity)
+        assert (a, b, kind) == (4, 4 + len(key), "key") and new != key and len(new) == len(key)
+        assert [x[2] for x in pii.detect(f"use {new}, now")] == ["key"], new
+    text = "-----BEGIN RSA PRIVATE KEY-----\nMIIE0aB1\nqrst+/==\n-----END RSA PRIVATE KEY-----"
+    ((a, b, kind, entity),) = pii.detect(text)
+    new = pii.render(kind, entity, pii.surrogate(b"k", kind, entity))
+    assert kind == "pem" and entity == "\nMIIE0aB1\nqrst+/==\n" and re.fullmatch(r"\n[A-Z]{4}\d[a-z][A-Z]\d\n[a-z]{4}\+/==\n", new)
+    assert pii.detect("a task-force of sk-learn-and-many-other-things, bearer of good-and-long-news-to-all") == []
+
+
+def test_dates_of_birth():
+    text = "born on 03/04/1990, DOB: 04.03.1990, geboren am 4.3.1990; né le 27/04/1988, date of birth 1990-03-04. Filed 05/06/2001, born 31.13.1990, Unborn 01.02.2003"
+    found = [(text[a:b], e) for a, b, k, e in pii.detect(text) if k == "birth"]
+    assert found == [("03/04/1990", "1990-03-04"), ("04.03.1990", "1990-03-04"), ("4.3.1990", "1990-03-04"), ("27/04/1988", "1988-04-27"), ("1990-03-04", "1990-03-04")]
+    for mention, entity in found:
+        for attempt in (0, pii.WIDEN):
+            new = pii.surrogate(b"k", "birth", entity, attempt)
+            shown = pii.render("birth", mention, new)
+            assert pii.canonical("birth", shown) == new and re.sub(r"\d", "", shown) == re.sub(r"\d", "", mention)
+
+
 def test_collisions_are_drawn_again(spark):
     df = spark.createDataFrame([("x", f"{k:03d}") for k in range(300)], "kind string, entity string")
     got = {r["entity"]: r["surrogate"] for r in pii.choose_surrogates(df, b"key").collect()}
@@ -631,6 +663,10 @@ def test_formats_of_numbers():
     new = pii.render("iban", text[a:b], pii.surrogate(b"k", "iban", e))
     assert re.fullmatch(r"DE\d\d( \d{4}){4} \d\d", new) and new != text[a:b] and pii.iban_check("DE", new.replace(" ", "")[4:]) == new[2:4]
     assert pii._is_ipv6(pii.surrogate(b"k", "ip6", f))
+    numbers = ["DE89 3704 0044 0532 0130 00", "BE68 5390 0754 7034", "GB29NWBK60161331926819"]
+    text = f"{numbers[0]} AND {numbers[1]} {numbers[2]} XDE89370400440532013000"
+    assert [text[a:b] for a, b, k, _ in pii.detect(text) if k == "iban"] == numbers
+    assert kinds("3782 822463 10005 and 378282246310005") == ["card"] * 2
     assert re.fullmatch(r"\d{8}", pii.surrogate(b"k", "secret", "12345678"))
 
 
