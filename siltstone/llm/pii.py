@@ -77,9 +77,10 @@ _SECRET = re.compile(rf"(?i:{SECRET_WORDS})\Z")
 _LONGEST_WORD = 12
 # What is said before a date of birth.
 BIRTH_WORDS = "[Bb]orn on|[Bb]orn|[Dd]ate of birth|DOB|D\\.O\\.B\\.|[Gg]eboren am|[Gg]eburtsdatum|[Nn]ée? le|[Dd]ate de naissance|[Nn]acid[oa] el|[Ff]echa de nacimiento"
-_BIRTH = re.compile(r"(?<!\w)(?:" + BIRTH_WORDS + r")\s*:?\s*(\d{4}-\d\d?-\d\d?|\d\d?([./-])\d\d?\2\d{4})(?!\d)")
+_BIRTH = re.compile(r"(?<!\w)(?:" + BIRTH_WORDS + r")\s*:?\s*\Z")
+_DATE = re.compile(r"(?<!\d)(?:\d{4}-\d\d?-\d\d?|\d\d?([./-])\d\d?\1\d{4})(?!\d)")
 #: Stretches that can hold numbers; the number patterns look at these only.
-_STRETCH = re.compile(r"[\d+(][\d ().+\-]{5,}\d")
+_STRETCH = re.compile(r"[\d+(][\d ().+\-/]{5,}\d")
 _NUMBERS = [
     ("ip", re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)")),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
@@ -87,13 +88,16 @@ _NUMBERS = [
     # groups of digits alone are no number to call: it takes +, brackets, a leading zero or the form 3-3-4
     ("phone", re.compile(r"(?<![\w+])(?!\d\d?[./-]\d\d?[./-]\d{4}(?!\d))(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{2,4}\)[ .-]?\d{3}[ .-]\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4}|0\d{1,4}(?:[ .-]\d{2,4}){2,4})(?!\w)")),
 ]
-_IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+# starts at the check digits, as digits are rarer than capitals
+_IBAN = re.compile(r"[0-9]{2}(?<=[A-Z]{2}[0-9]{2})(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])")
 # all start with a choice of words, by whose first letters the search skips quickly
 _NAMED = re.compile(r"(" + "|".join(sorted(_GENDER, key=len, reverse=True)) + r") (" + _CAPITAL + r")(?!\w)")
 _TITLE_GENDER = {t: g for g, titles in TITLES.items() for t in titles}
 _TITLED = re.compile(r"(" + "|".join(sorted(_TITLE_GENDER, key=len, reverse=True)) + r")\.? (" + _CAPITAL + r")(?: (" + _CAPITAL + r"))?(?!\w)")
 _CUED = re.compile(r"(?:" + "|".join(x for c in CUES for x in ([c[1] + c[4:], c[2] + c[4:]] if c[0] == "[" else [c])) + r")\s+(" + _CAPITAL + r")(?: (" + _CAPITAL + r"))?(?!\w)")
+#: Literal parts of the cues, for a quick look whether there can be any.
+_CUE_PARTS = [max(re.split(r"\[\w+\]|:?\?", c), key=len) for c in CUES]
 _DIGIT = re.compile(r"\d")
 
 
@@ -144,7 +148,7 @@ def _ibans(text: str):
     """(start, end) of all account numbers whose check digits are right; words in capitals or another number may follow one."""
     m = _IBAN.search(text)
     while m:
-        a, b = m.span()
+        a, b = m.start() - 2, m.end()
         if not (a and (text[a - 1].isalnum() or text[a - 1] == "_")):
             while b - a >= 15:
                 value = canonical("iban", text[a:b])
@@ -156,7 +160,7 @@ def _ibans(text: str):
                 b = 0
         else:
             b = 0
-        m = _IBAN.search(text, b or a + 1)
+        m = _IBAN.search(text, b or a + 3)
 
 
 def _words_from(pattern: re.Pattern, text: str):
@@ -179,7 +183,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     if "@" in text:
         for m in _EMAIL.finditer(text):
             add("email", *m.span())
-    if any(x in text for x in KEY_STARTS):
+    if any(x in text for x in ("AKIA", "ASIA", "AIza", "eyJ", "sk-", "xox")) or "_" in text and any(x in text for x in KEY_STARTS):
         for m in _KEY.finditer(text):
             add("key", *m.span())
     if "-----BEGIN " in text:
@@ -199,16 +203,18 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             value = _VALUE.match(text, m.start())
             add("secret", *value.span(1))
             done = value.end()
-    for stretch in _STRETCH.finditer(text):
+    digits = _DIGIT.search(text) is not None
+    for stretch in _STRETCH.finditer(text) if digits else ():
         for kind, pattern in _NUMBERS:
             for m in pattern.finditer(text, stretch.start(), min(len(text), stretch.end() + 1)):
                 if kind != "phone" or 8 <= len(_DIGIT.findall(m[0])) <= 15:
                     add(kind, *m.span())
-    for a, b in _ibans(text):
+        for m in _DATE.finditer(text, stretch.start(), min(len(text), stretch.end() + 1)):
+            _, month, day = canonical("birth", m[0]).split("-")
+            if 0 < int(month) <= 12 and 0 < int(day) <= 31 and _BIRTH.search(text, max(0, m.start() - 40), m.start()):
+                add("birth", *m.span())
+    for a, b in _ibans(text) if digits else ():
         add("iban", a, b)
-    for m in _BIRTH.finditer(text):
-        if "00" not in (parts := canonical("birth", m[1]).split("-"))[1:] and int(parts[1]) <= 12 and int(parts[2]) <= 31:
-            add("birth", *m.span(1))
     if "::" in text or text.count(":") > 3:
         for m in _IPV6.finditer(text):
             if _is_ipv6(m[0]):
@@ -229,7 +235,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
         person(m[1], m[2], "u")
     for m in _words_from(_TITLED, text):
         person(m[2], m[3], _TITLE_GENDER[m[1]])
-    for m in _words_from(_CUED, text):
+    for m in _words_from(_CUED, text) if any(x in text for x in _CUE_PARTS) else ():
         person(m[1], m[2], "u" if m[2] else "cue")
     if names:
         every = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + r")(?!\w)")
