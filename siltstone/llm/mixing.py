@@ -11,6 +11,7 @@ or joined.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,6 +24,7 @@ from siltstone.llm.kernels import flatten, words
 from siltstone.llm.terms import TERM_BITS, Sample, batch_terms, labelled_sample, telling_terms
 
 SAMPLE_BOUND = 20_000
+log = logging.getLogger("siltstone")
 
 
 @dataclass
@@ -72,7 +74,12 @@ def fit_domains(sample: Sample, domains: int, epochs: int = 25, rate: float = 0.
 
 
 def learn_domains(docs: DataFrame, labels: DataFrame, domains: int, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", bound: int = SAMPLE_BOUND) -> DomainModel:
-    """Learns from at most ``bound`` labelled documents (lowest id hashes); ``labels`` has its id column and ``_y``, 0 to domains - 1."""
+    """Learns from at most ``bound`` labelled documents (lowest id hashes); ``labels`` has its id column and ``_y``, 0 to domains - 1.
+
+    Null ids and labels, labels out of range and labels without a document are left out; of repeated labels the largest
+    counts, of documents that repeat an id one.  Null texts count as empty.  Without a labelled document, or where no term tells
+    domains apart, the posterior is the labels' share (equal shares without labels); so also for empty tables.
+    """
     rows = labels.where(F.col("_y").between(0, domains - 1))
     return fit_domains(labelled_sample(docs, rows, id_col, text_col, label_id_col, bound, shapes=True), domains)
 
@@ -85,6 +92,7 @@ class Rates:
     steps: list[np.ndarray] = field(default_factory=list)
     reached: np.ndarray | None = None
     targets: np.ndarray | None = None
+    converged: bool = True
 
     def of(self, expected: np.ndarray) -> np.ndarray:
         x = np.ones(len(expected))
@@ -122,8 +130,12 @@ def with_membership(docs: DataFrame, model: DomainModel, rates: Rates | None = N
 def fit_rates(docs: DataFrame, model: DomainModel, weights: list[float], total: float | None = None, least: float = 0.0, text_col: str = "text", tolerance: float = 1e-6, iterations: int = 60) -> Rates:
     """Rates whose expected domain tokens match ``weights`` (made to sum to 1) of ``total`` tokens.
 
-    ``total``: by default the tokens of ``docs``; with ``least`` = 1, the smallest total at which no
-    domain must shrink.  Starts at rate 1 for all.
+    ``total``: by default the tokens of ``docs``; with ``least`` = 1, one at which no
+    domain must shrink from where the last step led (near the smallest; as posteriors are soft, what makes one domain grow adds to the
+    others, so the total that the shares need isn't known before).  Starts at rate 1 for all.  Where the targets can't be met (a domain without tokens, a total below
+    what ``least`` leaves, ``iterations`` too few), the rates come as close as they got, ``converged`` is
+    false and a warning is logged.  Null and empty texts have no tokens; repeated rows count each; an empty table has nothing
+    to reach: no step is taken.
     """
     share = np.asarray(weights, float) / sum(weights)
     d = len(share)
@@ -132,13 +144,23 @@ def fit_rates(docs: DataFrame, model: DomainModel, weights: list[float], total:
     slim = cut(slim.groupBy(*[f"a{k}" for k in range(d)], "x").agg(F.count("*").cast("double").alias("n")))
     names = [f"a{k}" for k in range(d)]
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
-    first = slim.agg(*[F.sum(F.col(f"a{i}") * F.col(f"a{j}") * F.col("n")) for i, j in pairs], *[F.sum(F.col(a) * F.col("n")) for a in names]).first()
-    gram = np.zeros((d, d))
-    for (i, j), v in zip(pairs, first):
-        gram[i, j] = gram[j, i] = v or 0.0
+
+    def squares(n) -> list:
+        return [F.sum(F.col(f"a{i}") * F.col(f"a{j}") * n) for i, j in pairs]
+
+    def symmetric(values) -> np.ndarray:
+        out = np.zeros((d, d))
+        for (i, j), v in zip(pairs, values):
+            out[i, j] = out[j, i] = v or 0.0
+        return out
+
+    first = slim.agg(*squares(F.col("n")), *[F.sum(F.col(a) * F.col("n")) for a in names]).first()
+    gram = symmetric(first)
     reached = np.array([v or 0.0 for v in first[len(pairs) :]])
+    grows = total is None and least >= 1
+    needed = lambda: max([reached.sum(), *(reached[share > 0] / share[share > 0])])
     if total is None:
-        total = max([reached.sum(), *(reached[share > 0] / share[share > 0])]) if least >= 1 else reached.sum()
+        total = needed() if grows else reached.sum()
     rates = Rates(least, targets=share * total)
     metric, free, best = np.linalg.pinv(gram), gram, np.inf
     for k in range(iterations):
@@ -148,18 +170,26 @@ def fit_rates(docs: DataFrame, model: DomainModel, weights: list[float], total:
             break
         # rows at the bound don't move, so the step is measured by the others while that brings the sums closer
         c = np.linalg.pinv(free if far < 0.9 * best else gram) @ miss
+        along = lambda c: sum((F.col(a) * F.lit(float(v)) for a, v in zip(names, c)), F.lit(0.0))
+        if least >= 1:  # all rows start at the bound, so the step is measured by those that it can move
+            can = F.when((F.col("x") > least) | (along(c) > 0), F.col("n")).otherwise(0.0)
+            c = np.linalg.pinv(symmetric(slim.agg(*squares(can)).first())) @ miss
         best = min(best, far)
         rates.steps.append(c)
-        slim = slim.withColumn("x", F.greatest(F.lit(float(least)), F.col("x") + sum((F.col(a) * F.lit(float(v)) for a, v in zip(names, c)), F.lit(0.0))))
+        slim = slim.withColumn("x", F.greatest(F.lit(float(least)), F.col("x") + along(c)))
         if k % 10 == 9:
             slim = cut(slim)
         moved = F.when(F.col("x") > least, F.col("n")).otherwise(0.0)
-        got = slim.agg(*[F.sum(F.col(a) * F.col("x") * F.col("n")) for a in names], *[F.sum(F.col(f"a{i}") * F.col(f"a{j}") * moved) for i, j in pairs]).first()
+        got = slim.agg(*[F.sum(F.col(a) * F.col("x") * F.col("n")) for a in names], *squares(moved)).first()
         reached = np.array([v or 0.0 for v in got[:d]])
-        free = np.zeros((d, d))
-        for (i, j), v in zip(pairs, got[d:]):
-            free[i, j] = free[j, i] = v or 0.0
+        free = symmetric(got[d:])
+        if grows:
+            total = needed()
+            rates.targets = share * total
     rates.reached = reached
+    rates.converged = bool(np.abs(rates.targets - reached).max(initial=0) <= tolerance * max(total, 1))
+    if not rates.converged:
+        log.warning("mixing: expected tokens %s, not the targets %s, after %d steps", reached.round(1).tolist(), rates.targets.round(1).tolist(), len(rates.steps))
     return rates
 
 
@@ -181,7 +211,11 @@ def document_rates(docs: DataFrame, model: DomainModel, rates: Rates, id_col: st
 
 
 def mix_documents(docs: DataFrame, model: DomainModel, rates: Rates, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with each row as often as its rate says (not at all below 1 by chance), same columns."""
+    """``docs`` with each row as often as its rate says (not at all below 1 by chance), same columns.
+
+    Null and empty texts have no tokens, so they stay once (``least`` times, if that is more). Null ids pass and share one
+    chance; repeated rows are repeated alike; an empty table stays empty; columns of any name pass.
+    """
     clash = {"n_tokens", "posterior", "rate", "_copy"}
     names = [f"_m{k}" if c.lower() in clash else c for k, c in enumerate(docs.columns)]
     out = with_membership(docs.toDF(*names), model, rates, text_col)

@@ -481,6 +481,42 @@ def test_mixing_odd_rows(spark):
     assert not document_rates(empty, model, fit_rates(empty, model, [1, 1])).collect()
 
 
+def test_mixing_against_brute_force(spark):
+    """Posteriors term by term, and rates against projected gradient descent on the whole vector in plain numpy."""
+    import math
+
+    import pyarrow as pa
+
+    from siltstone.llm.mixing import document_rates, fit_rates, learn_domains
+    from siltstone.llm.terms import batch_terms
+
+    rows = [(k, ("red " if k % 3 else "blue ") * (1 + k % 7) + f"word{k} and {'so on' if k % 5 else 'more'}") for k in range(240)] + [(900, None), (901, "")]
+    docs = table(spark, rows)
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(240) if k % 4], "doc_id bigint, _y int")
+    model = learn_domains(docs, labels, 2)
+    weight = {int(t): w for t, w in zip(model.terms, model.weights)}
+    want = []
+    for _, t in rows:
+        ((_, _, _, terms),) = batch_terms(pa.chunked_array([[t or ""]]), shapes=True)
+        z = [model.bias[d] + sum(float(weight[int(x)][d]) for x in terms if int(x) in weight) for d in range(2)]
+        e = [math.exp(v) for v in z]
+        want.append([v / sum(e) for v in e])
+    expected = np.array(want) * np.array([len((t or "").split()) for _, t in rows])[:, None]
+    for least, weights, total, feasible in ((0.0, [0.3, 0.7], None, True), (1.0, [0.5, 0.5], None, True), (1.0, [0.5, 0.5], 10.0, False)):
+        rates = fit_rates(docs, model, weights, total=total, least=least)
+        got = sorted(document_rates(docs, model, rates).collect())
+        assert np.allclose([r["posterior"] for r in got], want, atol=1e-9) and rates.converged == feasible
+        x = np.array([r["rate"] for r in got])
+        assert (x >= least).all() and np.allclose(x @ expected, rates.reached, rtol=1e-6)
+        plain, step = np.ones(len(rows)), 1 / np.linalg.norm(expected, 2) ** 2
+        for _ in range(20_000):
+            plain = np.maximum(least, plain + step * expected @ (rates.targets - plain @ expected))
+        loss = lambda v: float(((rates.targets - v @ expected) ** 2).sum())
+        assert loss(x) <= loss(plain) * (1 + 1e-6) + 1e-3
+        if feasible:
+            assert np.allclose(x @ expected, rates.targets, rtol=1e-4)
+
+
 # toxicity
 
 
