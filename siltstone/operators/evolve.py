@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from siltstone.manifest import Fragment, Snapshot, commit, load
 from siltstone.namespace import Namespace, resolve
-from siltstone.operators.write import collect_files
+from siltstone.operators.write import collect_folders
 from siltstone.schema import conform, storable, to_struct
 from siltstone.sources.scan import located
 from siltstone.storage import Store
@@ -31,14 +31,15 @@ class BatchUDF:
 def rewrite(rows: DataFrame, store: Store, schema: T.StructType, key: str, keys: Iterable[int], max_rows: int = 0) -> dict[int, list[Fragment]]:
     """Writes rows (with ``key``, one of ``keys``, and an order: ``_fragment``, ``_row``) so that each key has files of its own.
 
-    One shuffle by key; a task's sort keeps the old order of rows.
+    One shuffle by key; a task's sort keeps the old order of rows. Tasks aren't merged by their bytes, as files cost time too.
     """
-    folder = f"data/{uuid.uuid4().hex}"
-    out = rows.repartition(key).sortWithinPartitions(key, "_fragment", "_row").select(*[f"`{n}`" for n in schema.names], F.col(key).alias("_key"))
+    folder, keys, spark = f"data/{uuid.uuid4().hex}", list(keys), rows.sparkSession
+    tasks = max(1, min(len(keys), max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    out = rows.repartition(tasks, key).sortWithinPartitions(key, "_fragment", "_row").select(*[f"`{n}`" for n in schema.names], F.col(key).alias("_key"))
     try:
         # 0: no bound, whatever the session says
         out.write.options(**store.options).partitionBy("_key").option("maxRecordsPerFile", max_rows).parquet(store.path(folder))
-        return {k: collect_files(store, f"{folder}/_key={k}") for k in keys}
+        return dict(zip(keys, collect_folders(store, [f"{folder}/_key={k}" for k in keys])))
     except BaseException:
         store.remove(folder)
         raise

@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import re
 import uuid
 import warnings
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 from typing import Any
 
 import pyarrow as pa
@@ -23,6 +25,10 @@ from siltstone.storage import Store
 
 MODES = ("create", "append", "overwrite")
 MIN_ROWS, MAX_ROWS = 1024 * 1024, 64 * 1024 * 1024
+#: Making a file costs more than its rows where it has fewer; then tasks share a partition's rows in runs of so many files.
+SMALL_FILE, RUN_FILES = 10_000, 64
+#: More footers than these are read by tasks.
+MANY_FILES = 1000
 
 
 def check_rows(min_rows: int, max_rows: int) -> None:
@@ -103,15 +109,35 @@ def _footer(store: Store, name: str, size: int) -> Fragment:
     return Fragment(-1, name, meta.num_rows, size, {k: v for k, v in stats.items() if v is not None and (v[0] is not None or v[2] == meta.num_rows)})
 
 
+def _turn(name: str) -> tuple:
+    """Order of a job's files: by task and by count, whose digits grow with them."""
+    told = re.match(r"part-(\d+)-.*-c(\d+)\b", name)
+    return (int(told[1]), int(told[2]), name) if told else (-1, -1, name)
+
+
+def _footers(store: Store, names: list[tuple[str, int]]) -> list[Fragment]:
+    """Footers of files, in their order: by threads, or by Spark's tasks if there are many."""
+    if len(names) <= MANY_FILES or store.spark is None:
+        with ThreadPoolExecutor(16) as pool:
+            return list(pool.map(lambda x: _footer(store, *x), names))
+    plain, context = Store(store.root, options=store.options), store.spark.sparkContext
+    return context.parallelize(names, min(len(names), 4 * context.defaultParallelism)).map(lambda x: _footer(plain, *x)).collect()
+
+
 def collect_files(store: Store, folder: str, suffix: str = ".parquet") -> list[Fragment]:
-    """The non-empty files of a folder, by name."""
-    names = [(f"{folder}/{n}", size) for n, size in store.list(folder) if n.endswith(suffix) and not n.startswith((".", "_"))]
-    with ThreadPoolExecutor(16) as pool:
-        found = list(pool.map(lambda x: _footer(store, *x), names))
+    """The non-empty files of a folder, in the order of a job's tasks and else by name."""
+    return collect_folders(store, [folder], suffix)[0]
+
+
+def collect_folders(store: Store, folders: list[str], suffix: str = ".parquet") -> list[list[Fragment]]:
+    """``collect_files`` of each folder."""
+    names = [[(f"{folder}/{n}", size) for n, size in sorted(store.list(folder), key=lambda x: _turn(x[0])) if n.endswith(suffix) and not n.startswith((".", "_"))] for folder in folders]
+    found = _footers(store, [x for part in names for x in part])
     for f in found:
         if not f.rows:
             store.remove(f.path)
-    return [f for f in found if f.rows]
+    rest = iter(found)
+    return [[f for f in islice(rest, len(part)) if f.rows] for part in names]
 
 
 def _known_rows(df: DataFrame) -> int | None:
@@ -121,17 +147,37 @@ def _known_rows(df: DataFrame) -> int | None:
 
 
 def stage(df: DataFrame, store: Store, max_rows: int, min_rows: int = 1) -> tuple[str, list[Fragment]]:
-    """Writes the rows into a folder of their own."""
+    """Writes the rows into a folder of their own.
+
+    Small files are written in two steps, as a task makes its files one after another: first runs of rows for many files,
+    then each run by a task of its own. Rows keep their order.
+    """
     folder = f"data/{uuid.uuid4().hex}"
     known = _known_rows(df) if min_rows > 1 else None
     if known is not None:
         df = df.coalesce(max(1, known // min_rows))
+    run = max_rows if max_rows >= SMALL_FILE else max_rows * RUN_FILES
     try:
-        df.write.options(**store.options).option("maxRecordsPerFile", max_rows).mode("errorifexists").parquet(store.path(folder))
-        return folder, collect_files(store, folder)
+        df.write.options(**store.options).option("maxRecordsPerFile", run).mode("errorifexists").parquet(store.path(folder))
+        files = collect_files(store, folder)
     except BaseException:
         store.remove(folder)
         raise
+    return (folder, files) if all(f.rows <= max_rows for f in files) else _split(df, store, folder, files, max_rows)
+
+
+def _split(df: DataFrame, store: Store, folder: str, files: list[Fragment], max_rows: int) -> tuple[str, list[Fragment]]:
+    """Writes a folder's files anew, each as several, and removes it."""
+    from siltstone.operators.evolve import rewrite
+    from siltstone.sources.scan import located
+
+    runs = with_fragments(df.schema, files, None, False)
+    try:
+        made = rewrite(located(df.sparkSession, store, runs, runs.fragments), store, df.schema, "_fragment", range(len(files)), max_rows)
+    finally:
+        store.remove(folder)
+    split = [f for k in range(len(files)) for f in made[k]]
+    return split[0].path.rsplit("/", 2)[0], split
 
 
 def to_frame(spark: SparkSession, data: Any) -> DataFrame:

@@ -31,9 +31,24 @@ def empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def paths(store: Store, fragments: Sequence[Fragment]) -> list[str]:
+    """What Spark is to read: a folder where all its files are asked for, as many single paths take long to check and list."""
+    names: dict[str, set[str]] = {}
+    for f in fragments:
+        folder, _, name = f.path.rpartition("/")
+        names.setdefault(folder, set()).add(name)
+    out = []
+    for folder, wanted in names.items():
+        if len(wanted) > 1 and {n for n, _ in store.list(folder) if not n.startswith((".", "_"))} == wanted:
+            out.append(store.path(folder))
+        else:
+            out += [store.path(f"{folder}/{n}") for n in sorted(wanted)]
+    return out
+
+
 def _files(spark: SparkSession, store: Store, snapshot: Snapshot, fragments: Sequence[Fragment]) -> DataFrame:
     # files without a later column read it as null
-    return spark.read.schema(snapshot.schema).options(**store.options).parquet(*[store.path(f.path) for f in fragments])
+    return spark.read.schema(snapshot.schema).options(**store.options).parquet(*paths(store, fragments))
 
 
 def located(spark: SparkSession, store: Store, snapshot: Snapshot, fragments: Sequence[Fragment], deleted: bool = False) -> DataFrame:

@@ -4,12 +4,15 @@ import warnings
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import siltstone as st
 from siltstone.manifest import Fragment, commit, load
+from siltstone.operators.write import collect_files
 from siltstone.plans.layout import balance, compaction_bins
+from siltstone.sources.scan import paths
 from siltstone.storage import Store
 
 PEOPLE = pd.DataFrame({"id": [1, 2, 3, 4, 5], "name": ["Alice", "Bob", "Charlie", "Diana", "Eve"], "age": [25, 30, 35, 40, 45], "score": [85.5, 92.0, 78.5, 88.0, 95.5]})
@@ -229,6 +232,32 @@ def test_compaction(spark, tmp_path):
         table.compact(num_workers=0)
 
 
+def test_small_files_are_made_by_several_tasks(spark, tmp_path, monkeypatch):
+    uri = str(tmp_path / "t")
+    monkeypatch.setattr("siltstone.operators.write.RUN_FILES", 4)
+    monkeypatch.setattr("siltstone.operators.write.MANY_FILES", 20)
+    st.write_table(spark.range(330).selectExpr("id", "if(id % 7 = 0, null, concat('row_', id)) AS `a b`").coalesce(1), uri, spark=spark, min_rows_per_file=1, max_rows_per_file=10)
+    table = st.open_table(uri, spark=spark)
+    assert [f.rows for f in table.fragments()] == [10] * 33 and [f.stats["id"][0] for f in table.fragments()] == list(range(0, 330, 10))
+    assert len({f.path.rpartition("/")[2].split("-")[1] for f in table.fragments()}) > 1  # tasks
+    assert {r["id"]: r["a b"] for r in table.read().collect()} == {k: None if k % 7 == 0 else f"row_{k}" for k in range(330)}
+    assert [r["id"] for r in table.take([329, 0, 40, 39]).collect()] == [329, 0, 40, 39]
+    store = Store(uri, spark)
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 1  # the first step's files are gone
+    # folders are read as such only if all their files are wanted
+    assert len(paths(store, table.fragments())) == 9 and len(paths(store, table.fragments()[1:])) == 11
+    assert table.read(fragment_ids=[f.id for f in table.fragments()[1:]]).count() == 320
+    assert table.compact(st.CompactionOptions(target_rows_per_fragment=100)) == st.CompactionMetrics(33, 4)
+    assert [f.rows for f in table.fragments()] == [100, 100, 100, 30] and table.read().where("`a b` = 'row_' || id").count() == 330 - 48
+
+
+def test_files_of_a_task_keep_their_order(tmp_path):
+    (tmp_path / "d").mkdir()
+    for name in ("part-00000-x-c1000.parquet", "part-00000-x-c101.parquet", "part-100000-x-c000.parquet", "part-20000-x-c000.parquet"):
+        pq.write_table(pa.table({"a": [1]}), tmp_path / "d" / name)
+    assert [f.path[2:].split(".")[0] for f in collect_files(Store(str(tmp_path)), "d")] == ["part-00000-x-c101", "part-00000-x-c1000", "part-20000-x-c000", "part-100000-x-c000"]
+
+
 def test_balance_takes_the_largest_first():
     fragments = [Fragment(k, "", n, 0) for k, n in enumerate((10, 50, 20, 30))]
     assert balance(fragments, 2) == [[1, 0], [3, 2]] and balance([], 3) == []
