@@ -94,10 +94,16 @@ def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, np.flatnonzero(end) + 1, np.searchsorted(starts, offsets)
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span."""
+def prefix_hashes(buf: np.ndarray) -> np.ndarray:
+    """What ``span_hashes`` needs of the bytes, for several sets of spans."""
     total = np.zeros(len(buf) + 1, U)
     np.cumsum(_BYTES[buf] * powers(_ODD, len(buf)), out=total[1:])
+    return total
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hash of each byte span."""
+    total = prefix_hashes(buf) if total is None else total
     h = (total[ends] - total[starts]) * powers(_INVERSE, len(buf) + 1)[starts]
     return mix(h + (ends - starts).astype(U) * U(0xA24BAED4963EE407))
 

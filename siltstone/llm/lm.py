@@ -26,12 +26,14 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import slices as S
 from siltstone.llm.common import arrow_type, crc_remainder, cut, view
-from siltstone.llm.kernels import LOWER, U, chunks, flatten, segments_to_rows, span_hashes, words
+from siltstone.llm.kernels import LOWER, U, chunks, flatten, prefix_hashes, segments_to_rows, span_hashes, words
 
 CLASSES, CONTEXT, DIM = 63, 4, 24
 #: The least number of symbols; the last ones are the classes and the end.
 SYMBOLS = 256
 NOISE, BATCH = 48, 1024
+#: Tokens that follow each other in a batch: they share their contexts' rows.
+RUN = 32
 PART_TOKENS = 1 << 20
 #: Below so many training tokens every round sees all of them.
 FEW_TOKENS = 1 << 22
@@ -54,7 +56,8 @@ def rounds_for(tokens: int) -> int:
 
 
 def group_width(symbols: int) -> int:
-    return 1 << ((symbols.bit_length() - 1) // 2)
+    """Symbols of a group: two to four times as many as groups, whose head costs most of a step."""
+    return 1 << ((symbols.bit_length() + 1) // 2)
 
 
 def _words(column):
@@ -64,7 +67,8 @@ def _words(column):
         part, at = LOWER[buf[offsets[i] : offsets[j]]], offsets[i : j + 1] - offsets[i]
         starts, ends, first = words(part, at)
         tail = np.maximum(starts, ends - 3)
-        yield i, j, span_hashes(part, starts, ends), (span_hashes(part, tail, ends) % U(CLASSES)).astype(np.uint8), first
+        total = prefix_hashes(part)
+        yield i, j, span_hashes(part, starts, ends, total), (span_hashes(part, tail, ends, total) % U(CLASSES)).astype(np.uint8), first
 
 
 def _tally(h, k, n):
@@ -219,12 +223,11 @@ class Model:
 
 def _own(q: np.ndarray, r: np.ndarray, b: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log of the softmax at one place a row."""
-    s = q @ r.T + b
+    s = q @ r.T
+    s += b
     mine = s[np.arange(len(s)), at].astype(np.float64)
-    top = s.max(axis=1)
-    s -= top[:, None]
-    np.exp(s, out=s)
-    return mine - top - np.log(s.sum(axis=1, dtype=np.float64))
+    total, top = _exp_sums(s)
+    return mine - top - np.log(total.astype(np.float64))
 
 
 def start(unigram: np.ndarray, seed: int = 5) -> Model:
@@ -251,8 +254,27 @@ def _descend(parameters: list, sums: list, at: np.ndarray, gradients: list, rate
         p[a] -= d
 
 
+def _exp_sums(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Makes exp of all scores in place, less their row's greatest if it could overflow or vanish; sums of rows, and what was taken off."""
+    ones, top = np.ones(s.shape[1], s.dtype), np.zeros(len(s), s.dtype)
+    if len(s) and not (s.max() < 60 and s[:, 0].min() > -60):
+        top = s.max(axis=1)
+        s -= top[:, None]
+    np.exp(s, out=s)
+    return s @ ones, top
+
+
 def train(model: Model, context: np.ndarray, symbol: np.ndarray, unigram: np.ndarray, seed: int, rate: float = 0.15, sums: list | None = None) -> Model:
-    """One pass of noise-contrastive estimation with Adagrad; gives new parameters.  ``sums`` (empty at first) carries Adagrad's state on."""
+    """``train_runs`` on tokens that each have a context (most recent symbol first) of their own."""
+    runs = np.concatenate((context[:, ::-1].astype(np.int64), np.asarray(symbol, np.int64)[:, None]), axis=1)
+    return train_runs(model, runs, np.ones((len(runs), 1), bool), unigram, seed, rate, sums)
+
+
+def train_runs(model: Model, runs: np.ndarray, told: np.ndarray, unigram: np.ndarray, seed: int, rate: float = 0.15, sums: list | None = None) -> Model:
+    """One pass of noise-contrastive estimation with Adagrad; gives new parameters.  ``sums`` (empty at first) carries Adagrad's state on.
+
+    A row of ``runs`` holds ``CONTEXT`` symbols and then those to be learned, but for those not ``told``. Runs come in random order.
+    """
     rng = np.random.default_rng(seed)
     e, c, r, b, gr, gb = (x.copy() for x in model.arrays())
     sums = [] if sums is None else sums
@@ -261,42 +283,79 @@ def train(model: Model, context: np.ndarray, symbol: np.ndarray, unigram: np.nda
     log_noise = np.log(np.maximum(NOISE * unigram, 1e-12)).astype(np.float32)
     law, width = np.cumsum(unigram), len(b) // len(gb)
     small = np.uint16 if len(b) <= 1 << 16 else np.uint32  # 16 bits are sorted by radix
-    order = rng.permutation(len(symbol))
-    for a in range(0, len(order), BATCH):
-        pick = order[a : a + BATCH]
-        x, w = context[pick], symbol[pick]
+    length = runs.shape[1] - CONTEXT
+    order = rng.permutation(len(runs))
+    each = max(1, BATCH // length)
+    mixed, cells = np.zeros((CONTEXT, DIM, DIM), np.float32), (slice(None), np.arange(DIM), np.arange(DIM))
+    spans = [slice(CONTEXT - 1 - i, CONTEXT - 1 - i + length) for i in range(CONTEXT)]  # places of each token's i-th symbol before it
+    for a in range(0, len(order), each):
+        pick = order[a : a + each]
+        y, ok = runs[pick], told[pick].ravel()
+        x, w = y[:, :-1], y[:, CONTEXT:].ravel()
         noise = np.minimum(np.searchsorted(law, rng.random(NOISE)), len(b) - 1)
-        n = len(pick)
-        emb = e[x]  # batch, context, dim
-        parts = emb * c
-        q = parts.sum(1)
+        emb = e[x]  # run, place, dim
+        near = np.empty((len(y), length, CONTEXT, DIM), np.float32)
+        for i, span in enumerate(spans):
+            near[:, :, i] = emb[:, span]
+        near = near.reshape(-1, CONTEXT * DIM)
+        mixed[cells] = c  # products with zeros cost less than passes over strided rows
+        q, live = near @ mixed.reshape(-1, DIM), None
+        if not ok.all():
+            live = np.flatnonzero(ok)
+            q, w = q[live], w[live]
+        n = len(w)
+        if not n:
+            continue
         rw, rn = r[w], r[noise]
         g = np.einsum("bd,bd->b", q, rw) + b[w] - log_noise[w]
         g = (1 / (1 + np.exp(-g)) - 1) / np.float32(n)
         gn = q @ rn.T
         gn += b[noise] - log_noise[noise]
-        gn = 1 / (1 + np.exp(-gn))
-        gn /= np.float32(n)
+        np.negative(gn, out=gn)
+        np.exp(gn, out=gn)
+        gn += 1
+        np.divide(np.float32(1 / n), gn, out=gn)
         gg = q @ gr.T
         gg += gb
-        gg -= gg.max(axis=1, keepdims=True)
-        np.exp(gg, out=gg)
-        gg /= gg.sum(axis=1, keepdims=True) * np.float32(n)
+        total, _ = _exp_sums(gg)
+        gg *= (np.float32(1 / n) / total)[:, None]
         gg[np.arange(n), w // width] -= np.float32(1 / n)
         dq = gn @ rn
         dq += gg @ gr
         dq += g[:, None] * rw
         at = np.concatenate((w, noise)).astype(small)
         _descend([r, b], sums[2:4], at, [np.concatenate((g[:, None] * q, gn.T @ q)), np.concatenate((g, gn.sum(0)))], rate)
-        dc = np.einsum("bd,bid->id", dq, emb)
-        np.multiply(dq[:, None, :], c, out=parts)
-        _descend([e], sums[:1], x.ravel().astype(small), [parts.reshape(-1, DIM)], rate)
-        for p, d, s in ((c, dc, sums[1]), (gr, gg.T @ q, sums[4]), (gb, gg.sum(0), sums[5])):
+        dgr, dgb = gg.T @ q, gg.sum(0)
+        if live is not None:
+            every = np.zeros((len(ok), DIM), np.float32)
+            every[live] = dq
+            dq = every
+        dc = (near.T @ dq).reshape(mixed.shape)[cells]
+        back = (dq @ mixed.reshape(-1, DIM).T).reshape(len(y), length, CONTEXT, DIM)
+        de = np.zeros_like(emb)
+        for i, span in enumerate(spans):
+            de[:, span] += back[:, :, i]
+        _descend([e], sums[:1], x.ravel().astype(small), [de.reshape(-1, DIM)], rate)
+        for p, d, s in ((c, dc, sums[1]), (gr, dgr, sums[4]), (gb, dgb, sums[5])):
             s += d * d
             p -= rate * d / np.sqrt(s)
     return Model(e, c, r, b, gr, gb)
 
 
+def runs_of(texts: list[np.ndarray], end: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of texts (each with its end) as runs for ``train_runs``, each token once, with the contexts that ``contexts`` gives."""
+    size = np.array([len(t) for t in texts], np.int64)
+    begin = np.concatenate(([0], np.cumsum(size))) + CONTEXT * np.arange(len(texts) + 1)  # ends before each text, and after the last
+    tokens = int(begin[-1]) + 1 - CONTEXT
+    rows = -(-tokens // length)
+    sym, told = np.full(CONTEXT + rows * length, end, np.int64), np.zeros(CONTEXT + rows * length, bool)
+    word = np.arange(int(size.sum())) + CONTEXT * np.repeat(np.arange(1, len(texts) + 1), size)
+    sym[word] = np.concatenate(texts) if len(texts) else []
+    told[word] = told[begin[1:]] = True
+    at = np.arange(rows)[:, None] * length + np.arange(CONTEXT + length)
+    return sym[at], told[at[:, CONTEXT:]]
+
+
 def contexts(sym: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Contexts and symbols of all tokens, with ``end`` put after each text, and the index of each text's first token."""
     n = len(first) - 1
@@ -351,11 +410,9 @@ def _trainer(model: Model, lexicon: Lexicon, seed: int, kind=np.uint16):
 
         def learn():
             nonlocal mine, tokens, met, pending, size
-            y = [np.frombuffer(x, kind).astype(np.int32) for x in pending]
-            x, w, _ = contexts(np.concatenate(y), np.cumsum([0, *map(len, y)]), lexicon.end)
-            w = w.astype(np.int64)
-            mine = train(mine, x, w, unigram, seed + tokens + size, sums=sums)
-            met += np.bincount(w, minlength=lexicon.size)
+            runs, told = runs_of([np.frombuffer(x, kind) for x in pending], lexicon.end, RUN)
+            mine = train_runs(mine, runs, told, unigram, seed + tokens + size, sums=sums)
+            met += np.bincount(runs[:, CONTEXT:][told], minlength=lexicon.size)
             tokens += size
             pending, size = [], 0
 

@@ -119,6 +119,37 @@ def test_lm_is_normalised():
     assert trained.log_prob(x, w).mean() > model.log_prob(x, w).mean() + 1
 
 
+def test_lm_runs_hold_each_token_once_with_its_context():
+    from siltstone.llm import lm
+
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 250, n).astype(np.uint16) for n in (0, 1, 2, 70, 0, 0, 31, 32, 33, 5)]
+    first = np.cumsum([0, *map(len, texts)])
+    x, w, _ = lm.contexts(np.concatenate(texts).astype(np.int64), first, 255)
+    for length in (1, 7, 32):
+        runs, told = lm.runs_of(texts, 255, length)
+        near = np.stack([np.stack([runs[:, lm.CONTEXT + t - 1 - i] for i in range(lm.CONTEXT)], -1) for t in range(length)], 1)
+        assert (near[told] == x).all() and (runs[:, lm.CONTEXT :][told] == w).all() and told.sum() == first[-1] + len(texts)
+    # places that aren't told teach nothing
+    model, flat = lm.start(np.full(256, 1 / 256)), np.full(256, 1 / 256)
+    runs, told = lm.runs_of(texts, 255, 7)
+    more = lm.train_runs(model, np.concatenate((runs, runs[:0])), told & False, flat, 1)
+    assert all((a == b).all() for a, b in zip(more.arrays(), model.arrays()))
+    # the exact gradient of the groups' head and the contexts: one step of runs is one step of single tokens
+    one = lm.train_runs(model, *lm.runs_of(texts[3:4], 255, 71), flat, 1)
+    x, w, _ = lm.contexts(texts[3].astype(np.int64), np.array([0, 70]), 255)
+    two = lm.train(model, x, w, flat, 1)
+    assert all(np.allclose(a, b, atol=2e-3) for a, b in zip(one.arrays()[4:], two.arrays()[4:]))
+
+
+def test_lm_sums_of_exponentials():
+    from siltstone.llm import lm
+
+    s = np.array([[0, 1, 2], [300, 1, 299], [-300, -301, -299], [5, -400, 80]], np.float32)
+    total, top = lm._exp_sums(s.copy())
+    assert np.allclose(np.log(total) + top, np.logaddexp.reduce(s.astype(float), axis=1), rtol=1e-6)
+
+
 def test_lm_vocabulary_grows_with_the_corpus(spark):
     from siltstone.llm import lm
 
