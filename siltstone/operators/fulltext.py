@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,18 +28,31 @@ K1, B = 1.2, 0.75
 
 #: Postings that one page holds, about.
 PAGE_POSTINGS = 2_000_000
+#: Texts that a Python worker is sent at a time, and bytes of them that it works on at once.
+BATCH_TEXTS, CHUNK_BYTES = 256, 1 << 19
 _POSTING = "term string, _fragment bigint, _row bigint, length int, tf int, positions array<int>"
 
 
+def chunks(offsets: np.ndarray, limit: int):
+    """Ranges of whole texts of at most ``limit`` bytes; a longer text has a range of its own."""
+    i, n = 0, len(offsets) - 1
+    while i < n:
+        j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1))
+        yield i, j
+        i = j
+
+
 def _inverted(batches):
-    """Terms of each text once, with their count and ascending positions."""
+    """Terms of each text once, with their count and ascending positions.  Texts come as terms joined by spaces, without a list's offsets."""
     for whole in batches:
-        for i in range(0, whole.num_rows, 256):
-            b = whole.slice(i, 256)
-            size = np.asarray(b.column(2).value_lengths().fill_null(0), np.int64)
-            if not size.sum():
+        wide = np.asarray(pc.binary_length(whole.column(2)).fill_null(0), np.int64)
+        for i, j in chunks(np.concatenate(([0], np.cumsum(wide))), CHUNK_BYTES):
+            b = whole.slice(i, j - i).filter(pa.array(wide[i:j] > 0))
+            if not b.num_rows:
                 continue
-            words = b.column(2).flatten().dictionary_encode()
+            split = pc.split_pattern(b.column(2), " ")
+            size = np.asarray(split.value_lengths(), np.int64)
+            words = split.flatten().dictionary_encode()
             code, row = np.asarray(words.indices, np.int64), np.repeat(np.arange(len(size)), size)
             position = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
             order = np.lexsort((code, row))  # stable: positions stay in order
@@ -61,7 +76,19 @@ def postings(rows: DataFrame, column: str, options: dict, wanted: Sequence[str]
     words = rows.select("_fragment", "_row", _words(rows, column, options).alias("_w"))
     if wanted is not None:
         words = words.where(F.arrays_overlap("_w", F.array(*map(F.lit, wanted))) if wanted else F.lit(False))
-    return words.mapInArrow(_inverted, _POSTING)
+    return words.select("_fragment", "_row", F.array_join("_w", " ").alias("_w")).mapInArrow(_inverted, _POSTING)
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Jobs started within send few texts at a time to Python: a worker's memory follows a batch's bytes, and texts may be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_TEXTS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
 
 
 def build(staged: DataFrame, pages: int) -> DataFrame:

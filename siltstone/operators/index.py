@@ -110,7 +110,8 @@ def create_scalar_index(
         # at least a page a worker, and never more entries than a task sorts well
         if text:
             made_terms = fulltext.postings(rows, column, options)
-            (made_terms if options.get("with_position", False) else made_terms.drop("positions")).write.options(**store.options).parquet(store.path(staging))
+            with fulltext.small_batches(spark):
+                (made_terms if options.get("with_position", False) else made_terms.drop("positions")).write.options(**store.options).parquet(store.path(staging))
             staged = spark.read.options(**store.options).schema(made_terms.schema if options.get("with_position", False) else made_terms.drop("positions").schema).parquet(store.path(staging))
             count, length = staged.agg(F.count("*"), F.sum("tf")).first()
             entries: DataFrame = fulltext.build(staged, max(len(dealt), -(-count // fulltext.PAGE_POSTINGS)))

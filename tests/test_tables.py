@@ -358,6 +358,32 @@ def test_full_text(spark, tmp_path):
     assert rows(table.scanner(columns=["id"], filter="id > 5", full_text_query="fox")) == [(9,)]
 
 
+def test_texts_reach_workers_in_small_batches(spark, tmp_path, monkeypatch):
+    from siltstone.operators import fulltext
+
+    seen, made = str(tmp_path / "seen"), fulltext._inverted
+
+    def watched(batches):
+        def told():
+            for b in batches:
+                with open(seen, "a") as f:
+                    f.write(f"{b.num_rows}\n")
+                yield b
+
+        yield from made(told())
+
+    monkeypatch.setattr(fulltext, "_inverted", watched)
+    monkeypatch.setattr(fulltext, "CHUNK_BYTES", 64)
+    texts = [None, "", "!", "of the", "The of, the OF the", *[f"word {k} of many" for k in range(1000)], "x " * 500 + "of the"]
+    uri = str(tmp_path / "t")
+    st.write_table(spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1), uri, spark=spark)
+    st.create_scalar_index(uri, "text", "INVERTED", spark=spark, with_position=True)
+    assert max(map(int, open(seen))) <= 256 and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
+    assert rows(st.read_table(uri, spark=spark, columns=["id"], scanner_options={"full_text_query": '"of the"'})) == [(3,), (4,), (1005,)]
+    table = st.open_table(uri, spark=spark)
+    assert table.snapshot.indices[0].options["length"] == 2 + 5 + 4000 + 502
+
+
 def test_stream_batches_are_written_once(spark, tmp_path):
     from siltstone.manifest import committed
     from siltstone.streaming.append import append_stream
