@@ -4,7 +4,7 @@ Tokens are words and one end for each text.  The model's symbols are the most fr
 words, the end, and classes of all other words (by their last bytes); their number grows with
 the root of the counted tokens.  It predicts the next symbol from the last ``CONTEXT`` ones (Mnih & Hinton 2007,
 with diagonal context weights): s(w | c) = r_w . sum_i c_i * e_i + b_w.  Symbols in order of frequency
-form groups of about the root of their number, and the probability is that of the group (a head of its
+form groups of a little more than the root of their number, and the probability is that of the group (a head of its
 own on the same context) times that within the group, so a softmax costs two roots.
 Training is noise-contrastive estimation in numpy with shared noise samples (an exact softmax for the groups), over every training
 text: a round's texts are dealt by hash into parts, each part trains a copy from common parameters over all its texts in an order
